@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import is_blank
-from tierline.operators.rows import DECIMAL_TEXT, is_empty_row
+from tierline.operators.rows import is_empty_row
 
 # Date spellings a landed file may use.
 DATE_SPELLINGS = (
     r"^\d{4}-\d{2}-\d{2}$|^\d{1,2}-[A-Za-z]{3}-\d{2,4}$|^\d{1,2}/\d{1,2}/\d{2,4}$|^\d{2,4}/\d{1,2}/\d{1,2}$"
 )
+# A number after or before repair: digits, thousands commas, fraction, exponent.
+REPAIRABLE_NUMBER = r"^[+-]?\d[\d,]*(\.\d+)?([eE][+-]?\d+)?$"
 # Tolerated differences between fact and gold totals.
 VOLUME_TOLERANCE, CHARGE_TOLERANCE = "1.0", "0.01"
 
@@ -245,11 +247,9 @@ def cell_issues(
     """
     cells = cell_values(df, row_id, [*dates, *decimals]).filter(~is_blank(F.col("value")))
     value = F.trim("value")
-    is_date = F.col("column_name").isin(*dates)
-    bad_date = is_date & ~value.rlike(date_text)
-    repairable = F.translate(value, ",", "").try_cast("double").isNotNull() & value.rlike("[eE,]")
-    bad_number = ~is_date & ~value.rlike(DECIMAL_TEXT) & ~repairable
-    kind = F.when(bad_date, "INVALID_DATE_FORMAT").when(bad_number, "INVALID_VALUE")
+    if_date = F.when(~value.rlike(date_text), "INVALID_DATE_FORMAT")
+    if_number = F.when(~value.rlike(REPAIRABLE_NUMBER), "INVALID_VALUE")
+    kind = F.when(F.col("column_name").isin(*dates), if_date).otherwise(if_number)
     return cells.withColumn("kind", kind).filter(F.col("kind").isNotNull())
 
 
@@ -279,9 +279,9 @@ def repair_stats(df: DataFrame, decimals: Sequence[str]) -> DataFrame:
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in present])).alias("s")).select("s.*")
     value = F.trim("value")
     return cells.groupBy("column_name").agg(
-        F.count_if(value.rlike("[eE]") & value.try_cast("double").isNotNull()).alias("exponent_conversions"),
+        F.count_if(value.rlike("[eE]") & value.rlike(REPAIRABLE_NUMBER)).alias("exponent_conversions"),
         F.count_if(value.contains(",")).alias("separator_removals"),
-        F.count_if(~is_blank(F.col("value")) & F.translate(value, ",", "").try_cast("double").isNull()).alias("unreadable"),
+        F.count_if(~is_blank(F.col("value")) & ~value.rlike(REPAIRABLE_NUMBER)).alias("unreadable"),
         F.count_if(is_blank(F.col("value"))).alias("blank"),
     )
 
