@@ -530,7 +530,9 @@ def _counts(names) -> str:
 def sql() -> dict[str, str]:
     s = _statement
     blank_rows = "(SELECT count(*) FROM lineitem WHERE l_orderkey % 211 = 0)"
-    valid_cols = ", ".join(USAGE)
+    # A delimited file cannot tell an empty value from a missing one; Parquet can.
+    partner = "CASE batch_id WHEN 'P' THEN partner_pmn ELSE nullif(partner_pmn, '') END AS partner_pmn"
+    landed_cols = ", ".join(partner if c == "partner_pmn" else c for c in USAGE)
     out = {
         "ingest_clean": s("SELECT * FROM cleaned", "cleaned"),
         "split_valid": s("SELECT * FROM bronze", "bronze"),
@@ -571,13 +573,13 @@ def sql() -> dict[str, str]:
             "forecast",
         ),
         "landing_ingest": s(
-            f"SELECT {valid_cols}, CASE batch_id WHEN 'F' THEN 'ee' ELSE 'orange' END AS _tenant, "
+            f"SELECT {landed_cols}, CASE batch_id WHEN 'F' THEN 'ee' ELSE 'orange' END AS _tenant, "
             "'bronze' AS _layer, 'traffic' AS _stage, "
             "CASE batch_id WHEN 'P' THEN 'parquet' ELSE 'csv' END AS _source_format, "
             "DATE '2026-07-01' AS _ingest_date FROM bronze",
             "bronze",
         ),
-        "stream_ingest": s("SELECT * FROM bronze", "bronze"),
+        "stream_ingest": s(f"SELECT {landed_cols} FROM bronze", "bronze"),
         "delimiter_detect": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, {d} AS delimiter, "
             f"(SELECT count(*) FROM (DESCRIBE {t}))::int AS column_count WHERE EXISTS (SELECT 1 FROM {t})"
@@ -649,7 +651,7 @@ def sql() -> dict[str, str]:
             "SELECT c.client_name, sum(g.total_traffic_volume)::decimal(38,2) AS volume FROM client_date g "
             f"JOIN (SELECT DISTINCT client_name, {_int_key('client_name', 'client_group_name')}::varchar AS client_key "
             "FROM forecast WHERE client_name IS NOT NULL AND client_group_name IS NOT NULL) c "
-            "ON g.client_key = c.client_key WHERE g.date_key::date BETWEEN DATE '2000-12-31' AND DATE '2001-12-31' "
+            "ON g.client_key = c.client_key WHERE g.date_key::date BETWEEN DATE '2000-11-04' AND DATE '2001-11-04' "
             "GROUP BY c.client_name ORDER BY volume DESC, c.client_name LIMIT 10",
             "client_date",
         ),
@@ -679,7 +681,7 @@ def sql() -> dict[str, str]:
         "recent_rows": s(
             "SELECT call_date::date AS day, service_type_id, count(*) AS row_count, "
             "sum(volume::decimal(18,6))::decimal(28,6) AS volume FROM bronze "
-            "WHERE call_date::date BETWEEN DATE '2001-12-24' AND DATE '2001-12-31' GROUP BY 1, 2",
+            "WHERE call_date::date BETWEEN DATE '2001-10-28' AND DATE '2001-11-04' GROUP BY 1, 2",
             "bronze",
         ),
         "indicator_rows": s(
@@ -790,7 +792,7 @@ def sql() -> dict[str, str]:
         "schema_evolution": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice AS gross_amount, "
         "left(o_orderpriority, 1)::bigint AS o_priority, NULL::date AS settled_on FROM orders",
         "retired_rows": "SELECT year(o_orderdate)::int AS year, count(*) AS row_count FROM orders "
-        "WHERE o_orderdate::date < DATE '1999-12-31' GROUP BY 1",
+        "WHERE o_orderdate::date < DATE '1999-11-04' GROUP BY 1",
         "blank_keys": s(
             "SELECT trim(coalesce(partner_pmn, '')) = '' AS blank_partner, count(*) AS row_count FROM cleaned GROUP BY 1",
             "cleaned",
@@ -829,7 +831,7 @@ def _alerts() -> str:
         "d.n::varchar || ' rows, ' || p.n::varchar || ' a week earlier' AS details FROM daily d "
         "JOIN daily p ON d.day = p.day + 7 WHERE abs(d.n - p.n) * 100 > p.n * 20 "
         "UNION ALL SELECT c.day, 'no_records', 'no rows for ' || k.kind FROM calendar c, "
-        "(VALUES ('click'), ('view'), ('purchase'), ('error'), ('refund')) k(kind) "
+        "(VALUES ('click'), ('view'), ('purchase'), ('error'), ('signup'), ('refund')) k(kind) "
         "WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.ts::date = c.day AND e.event_type = k.kind) "
         "UNION ALL SELECT DATE '2024-01-31', 'stale', 'last load ' || strftime(m, '%Y-%m-%d %H:%M:%S') "
         "FROM (SELECT max(ts) AS m FROM events) WHERE m < TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1 DAY"

@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Results are stamped and judged as of this moment, so they do not depend on the day they run.
 RUN_AT = "2026-07-01 00:00:00"
 # The sample tables end in different years; reports on recent rows look back from these days.
-USAGE_END, EVENTS_END = "2001-12-31", "2024-01-31 12:00:00"
+USAGE_END, EVENTS_END = "2001-11-04", "2024-01-31 12:00:00"
 
 QUERIES: dict[str, Query] = {}
 
@@ -147,9 +147,8 @@ def _drop(spark: SparkSession, folder: str) -> str:
             shape.normalize_columns(part).write.parquet(f"{root}/tenant/{place}")
         else:
             writer.options(
-                header=True, sep=delimiter, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,
-                ignoreTrailingWhiteSpace=False,
-            ).csv(f"{root}/tenant/{place}")
+                header=True, sep=delimiter, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            ).csv(f"{root}/tenant/{place}")
     return root
 
 
@@ -195,13 +194,11 @@ def stream_ingest(spark, folder):
         aligned = shape.align_to_schema(valid, schema_of(", ".join(f"{c} string" for c in USAGE_ALIASES)))
         aligned.write.mode("overwrite").parquet(f"{store}/_batch={batch}")
 
-    # The glob reaches every folder of the drop; the stream itself filters tenant, layer and domain.
     stream = ingest_stream(
-        spark, f"{root}/tenant/*/*/*/", "traffic", "bronze", scratch_path(spark, "stream"), handler, files_per_batch=8
+        spark, root, "traffic", "bronze", scratch_path(spark, "stream"), handler, files_per_batch=10
     )
     stream.awaitTermination()
-    columns = [c for c in clean_usage(_usage_raw(spark, folder)).columns]
-    return spark.read.parquet(store).select(columns)
+    return spark.read.parquet(store).select(clean_usage(_usage_raw(spark, folder)).columns)
 
 
 # Dimensions
@@ -331,7 +328,7 @@ def fa_ratio(spark, folder):
 
 @query
 def top_clients(spark, folder):
-    """Largest clients of the last ten years of the sample, which is stored by month."""
+    """Largest clients of the last year of the sample, which is stored by month."""
     bronze = _forecast_bronze(spark, folder)
     gold = marts.forecast_by_client_date(forecast.forecast_fact(bronze, RUN_AT))
     clients = (
@@ -539,7 +536,7 @@ def freshness(spark, folder):
 @query
 def alerts(spark, folder):
     """Weekly deviation, days without an event type, and stale loads."""
-    kinds = ["click", "view", "purchase", "error", "refund"]
+    kinds = ["click", "view", "purchase", "error", "signup", "refund"]
     return quality.completeness_alerts(_events(spark, folder), "ts", "event_type", kinds, EVENTS_END)
 
 

@@ -14,21 +14,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierline.sources.files import landing_filter, read_files
 
+# Fixed value: the columns of Spark's binary file source.
+FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
+
 Handler = Callable[[DataFrame, str, str], None]
 
 
 def landed_files(
     spark: SparkSession, root: str, domain: str, layer: str, *, files_per_batch: int = 1000, archive: str | None = None
 ) -> DataFrame:
-    """Stream of new files (path, modificationTime). ``root`` is a glob over the landing folders.
+    """Stream of new files (path, modificationTime) anywhere under ``root``.
 
     With ``archive`` set, Spark moves files there some time after their batch has finished. That is
     housekeeping only: what was loaded is decided by the checkpoint.
     """
-    reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.format("binaryFile").schema(FILE_DDL).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.load(root).select("path", "modificationTime")
+    files = reader.option("recursiveFileLookup", True).load(root).select("path", "modificationTime")
     return files.filter(landing_filter(F.col("path"), domain, layer))
 
 
