@@ -166,8 +166,8 @@ def update_gold(spark: SparkSession, tenant: str, batch: str, loaded_at: str) ->
     tables.overwrite_partitions(stamp(daily, loaded_at), daily_name)
 
     stored = spark.table(daily_name)
-    months = stored.join(touched, "call_day", "left_semi").select(F.col("call_month").alias("month")).distinct()
-    whole_months = stored.join(F.broadcast(months), F.col("call_month").eqNullSafe(F.col("month")), "left_semi")
+    months = stored.join(touched, "call_day", "left_semi").select(F.col("call_month").alias("touched_month")).distinct()
+    whole_months = stored.join(F.broadcast(months), F.col("call_month").eqNullSafe(F.col("touched_month")), "left_semi")
     monthly = marts.usage_monthly(whole_months)
     tables.overwrite_partitions(stamp(monthly, loaded_at), table_spec("traffic_monthly", "gold").full_name(tenant))
 
