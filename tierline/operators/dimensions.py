@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import (
@@ -18,64 +19,35 @@ from tierline.model import Dimension
 from tierline.operators.rows import not_null
 from tierline.operators.shape import stamp
 
-MEMBERS_DDL = "dimension string, norm string, label string, attribute string"
-
-
-def _pick(label: Column, attribute: Column) -> Column:
-    """Ordering under which ``min`` picks one spelling per key, preferring a filled attribute."""
-    return F.min(
-        F.struct(label.alias("label"), attribute.isNull().alias("unfilled"), attribute.alias("attribute"))
-    )
-
-
-def _source(dim: Dimension) -> tuple[Column, Column]:
-    attribute = F.col(dim.attribute[0]) if dim.attribute else F.lit(None).cast("string")
-    return F.col(dim.natural), attribute
-
 
 def dimension_members(bronze: DataFrame, dim: Dimension) -> DataFrame:
-    """Distinct members of one dimension, reading only its one or two columns.
+    """Distinct members of one dimension: (norm, label, attribute), reading only its one or two columns.
 
-    Grouping is on the normalised value; map-side combining leaves at most one row per value and task, so a
-    value that fills a third of the input costs no more than a rare one.
+    Spellings are made distinct first. That is a plain hash aggregate with map-side combining, so a value
+    that fills a third of the input costs no more than a rare one. Picking one spelling per key (the
+    smallest, with a filled attribute if there is one) then sees distinct spellings only.
     """
-    label, attribute = _source(dim)
-    rows = bronze.filter(label.isNotNull()).select(
-        normalized(label).alias("norm"), label.alias("label"), attribute.alias("attribute")
+    label = F.col(dim.natural)
+    attribute = F.col(dim.attribute[0]) if dim.attribute else F.lit(None).cast("string")
+    spellings = (
+        bronze.filter(label.isNotNull()).select(label.alias("label"), attribute.alias("attribute")).distinct()
     )
+    ranked = F.struct("label", F.col("attribute").isNull().alias("unfilled"), "attribute")
     return (
-        rows.groupBy("norm")
-        .agg(_pick(F.col("label"), F.col("attribute")).alias("m"))
+        spellings.groupBy(normalized(F.col("label")).alias("norm"))
+        .agg(F.min(ranked).alias("m"))
         .select("norm", "m.label", "m.attribute")
     )
 
 
 def all_members(bronze: DataFrame, dims: Iterable[Dimension]) -> DataFrame:
-    """Members of several dimensions from one scan and one shuffle: (dimension, norm, label, attribute).
+    """Members of several dimensions in one job: (dimension, norm, label, attribute).
 
-    Each row fans out to one small struct per dimension inside the scan stage and is combined map-side, so
-    the shuffle carries distinct members only. Meant for dimensions of bounded size; a large one would evict
-    the others from the map-side hash table and is better built on its own.
+    One narrow scan per dimension. Together they read each column once, and measured against a single scan
+    that fans every row out to all dimensions they need a fraction of the work.
     """
-    structs = []
-    for dim in dims:
-        label, attribute = _source(dim)
-        structs.append(
-            F.struct(
-                F.lit(dim.table).alias("dimension"),
-                normalized(label).alias("norm"),
-                label.alias("label"),
-                attribute.alias("attribute"),
-            )
-        )
-    return (
-        bronze.select(F.explode(F.array(*structs)).alias("s"))
-        .select("s.*")
-        .filter(F.col("label").isNotNull())
-        .groupBy("dimension", "norm")
-        .agg(_pick(F.col("label"), F.col("attribute")).alias("m"))
-        .select("dimension", "norm", "m.label", "m.attribute")
-    )
+    frames = [dimension_members(bronze, d).withColumn("dimension", F.lit(d.table)) for d in dims]
+    return reduce(DataFrame.unionByName, frames).select("dimension", "norm", "label", "attribute")
 
 
 def from_members(members: DataFrame, dim: Dimension) -> DataFrame:

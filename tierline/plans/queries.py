@@ -218,7 +218,7 @@ for _name in USAGE_DIMENSIONS:
 
 @query
 def dimension_members(spark, folder):
-    """Members of all bounded usage dimensions from one scan."""
+    """Members of all bounded usage dimensions, built together."""
     members = dims.all_members(_bronze(spark, folder), usage.BOUNDED)
     return members.groupBy("dimension").agg(
         F.count("*").alias("members"), F.count("attribute").alias("with_attribute"), F.min("label").alias("first_label")

@@ -56,7 +56,7 @@ def usage_bronze(raw: DataFrame) -> DataFrame:
 def staged_dimensions(bronze: DataFrame) -> dict[str, DataFrame]:
     """All dimensions as written tables, so the star join knows their true sizes.
 
-    The bounded ones come from one scan; the subscriber dimension is built on its own.
+    The bounded ones are written by one job; the subscriber dimension is built on its own.
     """
     members = staged(dims.all_members(bronze, BOUNDED), "members", partition_by="dimension")
     built = {d.table: dims.from_members(_members_of(members, d.table), d) for d in BOUNDED}
