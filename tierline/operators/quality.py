@@ -231,6 +231,22 @@ def validation_summary(checks: DataFrame) -> DataFrame:
     )
 
 
+def column_coverage(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """Per expected column whether the source has it, and how many rows fill it: one aggregate, one row each."""
+    counts = [
+        (F.count_if(~is_blank(F.col(c))) if c in df.columns else F.lit(0).cast("bigint")).alias(c) for c in expected
+    ]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(c in df.columns).alias("present"), F.col(c).alias("filled_rows")
+            )
+            for c in expected
+        ]
+    )
+    return df.agg(F.count("*").alias("all_rows"), *counts).select(F.explode(rows).alias("r")).select("r.*")
+
+
 def cell_values(df: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
     """(row_id, column_name, value) for the listed text columns."""
     present = [c for c in columns if c in df.columns]

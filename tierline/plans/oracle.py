@@ -737,10 +737,15 @@ def sql() -> dict[str, str]:
             "count(*) FILTER (WHERE NOT passed) AS failed_checks, count(*) AS total_checks FROM checks GROUP BY layer",
             "checks",
         ),
-        "required_columns": " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, 'missing' AS problem"
-            for c in SETTLEMENT_REQUIRED_COLUMNS
-            if c not in SETTLEMENT
+        "required_columns": s(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, true AS present, "
+                f"count(*) FILTER (WHERE trim(coalesce({c}, '')) <> '') AS filled_rows FROM settlement"
+                if c in SETTLEMENT
+                else f"SELECT '{c}' AS column_name, false AS present, 0::bigint AS filled_rows"
+                for c in SETTLEMENT_REQUIRED_COLUMNS
+            ),
+            "settlement",
         ),
         "csv_issues": s("SELECT * FROM issues", "issues"),
         "first_issues": s(

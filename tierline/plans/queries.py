@@ -473,8 +473,8 @@ def quality_summary(spark, folder):
 
 @query
 def required_columns(spark, folder):
-    """Mandatory settlement columns the input lacks."""
-    return shape.missing_and_extra(_settlement(spark, folder), SETTLEMENT_REQUIRED_COLUMNS).filter("problem = 'missing'")
+    """Mandatory settlement columns: present or missing, and how many rows fill them."""
+    return quality.column_coverage(_settlement(spark, folder), SETTLEMENT_REQUIRED_COLUMNS)
 
 
 def _cell_issues(spark, folder) -> DataFrame:

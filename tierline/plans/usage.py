@@ -21,7 +21,7 @@ from tierline.model import (
 )
 from tierline.operators import dimensions as dims
 from tierline.operators import facts, marts, tables
-from tierline.operators.rows import filter_empty_rows, split_by_type
+from tierline.operators.rows import filter_empty_rows, split_by_type, type_violation
 from tierline.operators.shape import (
     add_audit_columns,
     cast_all_to_string,
@@ -101,21 +101,33 @@ def load_usage(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loa
     """
     create_usage_tables(spark, tenant)
     write_bronze(tenant, raw, batch, loaded_at, quarantine)
-    bronze_name = table_spec("traffic", "bronze").full_name(tenant)
-    batch_rows = spark.table(bronze_name).filter(F.col("_batch") == batch)
+    batch_rows = accepted_rows(spark, tenant).filter(F.col("_batch") == batch)
     update_dimensions(spark, tenant, batch_rows, loaded_at)
     update_fact(spark, tenant, batch_rows, batch, loaded_at)
     update_gold(spark, tenant, batch, loaded_at)
 
 
+def accepted_rows(spark: SparkSession, tenant: str) -> DataFrame:
+    """Bronze rows that passed validation; the flag is a partition column, so rejected files are not read."""
+    return spark.table(table_spec("traffic", "bronze").full_name(tenant)).filter("_accepted")
+
+
 def write_bronze(tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str) -> None:
+    """Parse and clean the batch once: accepted and rejected rows go to partitions of their own.
+
+    The quarantine files are then copied from the rejected partition, not parsed a second time.
+    """
     path = F.col(SOURCE_PATH)
     cleaned = add_audit_columns(
         clean_usage(raw), path, tenant=tenant_of(path), layer="bronze", domain="traffic", ingested_at=loaded_at
-    ).withColumn("_batch", F.lit(batch))
-    valid, invalid = split_usage(cleaned)
-    tables.overwrite_partitions(valid, table_spec("traffic", "bronze").full_name(tenant))
-    tables.quarantine_parquet(invalid, f"{quarantine}/_batch={batch}")
+    )
+    judged = cleaned.withColumns(
+        {"_batch": F.lit(batch), "_accepted": ~type_violation(cleaned.columns, USAGE_TYPES)}
+    )
+    name = table_spec("traffic", "bronze").full_name(tenant)
+    tables.overwrite_partitions(judged, name)
+    rejected = raw.sparkSession.table(name).filter((F.col("_batch") == batch) & ~F.col("_accepted"))
+    tables.quarantine_parquet(rejected.drop("_batch", "_accepted"), f"{quarantine}/_batch={batch}")
 
 
 def update_dimensions(spark: SparkSession, tenant: str, batch_rows: DataFrame, loaded_at: str) -> None:
@@ -166,6 +178,7 @@ def update_gold(spark: SparkSession, tenant: str, batch: str, loaded_at: str) ->
     tables.overwrite_partitions(stamp(daily, loaded_at), daily_name)
 
     stored = spark.table(daily_name)
+    # A date has one month, so there are no more months than touched dates.
     months = stored.join(touched, "call_day", "left_semi").select(F.col("call_month").alias("touched_month")).distinct()
     whole_months = stored.join(F.broadcast(months), F.col("call_month").eqNullSafe(F.col("touched_month")), "left_semi")
     monthly = marts.usage_monthly(whole_months)
