@@ -242,11 +242,11 @@ def dim_agreement(spark, folder):
 
 @query
 def dim_upsert(spark, folder):
-    """Access points not yet known to a table built from the finished orders."""
+    """Subscribers not yet known to a table built from the finished orders."""
     bronze = _bronze(spark, folder)
-    apn = USAGE_DIMENSIONS["dim_imsi"]
-    existing = dims.build_dimension(bronze.filter(F.col("event_type_id") == "F"), apn)
-    return dims.new_members(dims.build_dimension(bronze, apn), existing, apn.key)
+    subscriber = USAGE_DIMENSIONS["dim_imsi"]
+    existing = dims.build_dimension(bronze.filter(F.col("event_type_id") == "F"), subscriber)
+    return dims.new_members(dims.build_dimension(bronze, subscriber), existing, subscriber.key)
 
 
 # Facts and marts
@@ -542,7 +542,7 @@ def alerts(spark, folder):
 
 @query
 def forecast_alerts(spark, folder):
-    """Months without forecast or actual rows, and weekly deviation of the monthly periods."""
+    """Months, from first to last, without rows of an indicator."""
     bronze = _forecast_bronze(spark, folder)
     return quality.missing_days(
         bronze, F.col("period_start_date"), F.col("forecast_or_actual_ind"), ["F", "A", "X"], "1 MONTH"
