@@ -70,8 +70,11 @@ def _hits(docs: DataFrame, items: DataFrame, window: int, tables: Tables) -> Dat
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window`` numbers
     words = _words(_template(_clean(F.col("text").cast("string"))))
     prepared = docs.select(row_hash(docs.columns).alias("row_hash"), words.alias("words"))
-    all_sizes = [F.transform(_windows(F.col("words"), F.lit(s)), lambda w, s=s: w.withField("size", F.lit(s))) for s in sizes]
-    found = F.flatten(F.array(*all_sizes)) if len(all_sizes) > 1 else all_sizes[0]
+
+    def sized(size: int) -> Column:
+        return F.transform(_windows(F.col("words"), F.lit(size)), lambda w: w.withField("size", F.lit(size)))
+
+    found = F.flatten(F.array(*map(sized, sizes)))
     rows = prepared.select("row_hash", F.inline(found)).withColumnRenamed("at", "doc_at")
     side = items.withColumnRenamed("at", "item_at")
     if items.count() <= BROADCAST_WINDOWS:
@@ -116,6 +119,7 @@ def contaminated(
     joined = aligned.join(
         doc_words.select("row_hash", "doc_id", _words(F.col("clean")).alias("doc_words")), "row_hash"
     ).join(item_words, "item_id")
+
     # Words of item and document side by side, over the stretch from the first to the last window found.
     count = F.col("high") - F.col("low") + F.col("size")
     sides = F.arrays_zip(
@@ -123,10 +127,7 @@ def contaminated(
         F.slice("item_words", F.col("low") + 1, count).alias("a"),
         F.slice("doc_words", F.col("low") + F.col("shift") + 1, count).alias("b"),
     )
-    def open_(t: Column) -> Column:
-        return t.rlike(f"[{NUMBER}{NAME}{UNIT}]")
-
-    slots = F.array_distinct(F.filter(F.col("sides"), lambda s: open_(s["t"])))
+    slots = F.array_distinct(F.filter(F.col("sides"), lambda s: s["t"].rlike(f"[{NUMBER}{NAME}{UNIT}]")))
     slots = F.transform(slots, lambda s: F.struct(s["t"].alias("t"), s["a"].alias("a"), s["b"].alias("b")))
     froms = F.array_distinct(F.transform(F.col("slots"), lambda s: F.struct(s["t"], s["a"])))
     tos = F.array_distinct(F.transform(F.col("slots"), lambda s: F.struct(s["t"], s["b"])))
