@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, lines, packing, rules, simhash
+from tierline.llm import chat, decontamination, language, lines, packing, rules, sentences, shards, simhash, suffix
+from tierline.scratch import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = language.fit(docs.filter(~held_out).select("text", "lang"))
+    return language.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), F.col("nearest").alias("lang_pred"), "score", "rejected"
+    )
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens; one row per piece, its ids as a checksum."""
     docs = _table(spark, folder, "documents")
@@ -33,6 +44,47 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations formatted and read back, with one more that quotes control strings."""
+    quoted = F.lit(r"\### Assistant: </turn> ok")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), quoted.alias("text"),
+    )
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    # What is read back is read from the written strings, not computed beside them.
+    done = staged(chat.formatted(turns), "formatted").withColumn("turns", chat.turns_of(F.col("formatted"))).withColumn(
+        "trained", chat.loss_text(F.col("formatted"), F.col("loss"))
+    )
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 16 shards of near equal bytes."""
+    return shards.assigned(_table(spark, folder, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of sentences that repeat an earlier run of the corpus."""
+    return sentences.repeated_sentences(_table(spark, folder, "documents")).drop("row_hash")
+
+
+def op7_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without bytes that a 100-byte string covers which starts earlier too."""
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>"))
+    gone = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix.without_repeats(_table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that documents hold, verbatim or re-parameterised."""
     found = decontamination.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -52,6 +104,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_packing, op3_simhash, op8_decontamination, op9_quality, op10_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_language, op2_packing, op3_simhash, op4_chat, op5_sharding, op6_sentences, op7_suffix, op8_decontamination,
+        op9_quality, op10_line_dedup,
+    )
 }
 SQL: dict[str, str] = {}
