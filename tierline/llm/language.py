@@ -18,9 +18,9 @@ from tierline.llm.common import map_rows
 
 UNDETERMINED = "und"
 #: The classifier is fitted on a bounded sample: texts per language, and code points taken of each.
-SAMPLE_TEXTS, SAMPLE_CHARS = 256, 512
+SAMPLE_TEXTS, SAMPLE_CHARS = 512, 1024
 #: Compression level; bytes encoded at a time, so that the dictionary counts throughout a long text.
-LEVEL, BLOCK = 3, 4096
+LEVEL, BLOCK = 6, 4096
 #: Choices are rejected where the second best size is less than this share larger.
 MIN_MARGIN = 0.01
 
