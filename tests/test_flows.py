@@ -157,7 +157,8 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     archive = f"{tmp_path}/archive"
     seen = []
 
-    def handler(raw, batch, loaded_at):
+    def handler(tenant, raw, batch, loaded_at):
+        assert tenant == "ee"
         seen.append((batch, sorted(r.imsi for r in usage.clean_usage(raw).collect()), loaded_at))
 
     def run():
@@ -179,7 +180,7 @@ def test_stream_feeds_the_usage_tables(spark, landed, tmp_path):
     landed.repartition(3).write.options(header=True, sep="|", ignoreLeadingWhiteSpace=False).csv(place)
     quarantine = scratch_path(spark, "bad")
 
-    def handler(raw, batch, loaded_at):
+    def handler(tenant, raw, batch, loaded_at):
         usage.load_usage(spark, "st", raw, batch, loaded_at, quarantine)
 
     stream = ingest_stream(
@@ -196,4 +197,60 @@ def test_every_query_with_sql_is_registered():
     from tierline.plans import oracle
 
     assert set(oracle.sql()) <= set(queries.QUERIES)
-    assert set(queries.QUERIES) - set(oracle.sql()) == {"samples"}
+    assert set(queries.QUERIES) == set(oracle.sql())
+
+
+def test_repeat_on_another_day_with_fewer_days_replaces_the_batch(spark, landed):
+    finished = F.coalesce(F.col("Batch ID"), F.lit("F")) == "F"
+    first, other = landed.filter(finished), landed.filter(~finished)
+    fewer = first.filter("`Call Month` <> '1995-01'")
+    for batch, part, day in (("0", first, 1), ("1", other, 1), ("0", fewer, 2)):
+        usage.load_usage(spark, "again", _with_path(part), batch, f"2026-01-0{day} 00:00:00", scratch_path(spark, "bad"))
+    bronze = usage.usage_bronze(fewer.union(other))
+    assert usage.accepted_rows(spark, "again").count() == bronze.count()
+    fact = facts.usage_fact(bronze)
+    assert _bag(spark.table("again_silver.fact_imsi_level_traffic"), *fact.columns) == _bag(fact, *fact.columns)
+    # Members stay once they are known, so labels are those of the stored dimensions.
+    dims = {d: spark.table(f"again_silver.{d}") for d in model.USAGE_DIMENSIONS}
+    whole = marts.usage_monthly(marts.usage_daily(fact, dims))
+    totals = [*model.USAGE_MONTHLY_GRAIN, "total_volume", "total_event_count"]
+    assert _bag(spark.table("again_gold.client_partner_traffic_monthly"), *totals) == _bag(whole, *totals)
+
+
+def test_streams_route_tenants_and_set_bad_files_aside(spark, tmp_path):
+    root, failed = f"{tmp_path}/landing", f"{tmp_path}/failed"
+    north, south = f"{root}/tenant/North/Bronze/Traffic", f"{root}/tenant/south/bronze/traffic"
+    _write(north, "a.csv", "IMSI;Call Date\n1;20240101\n")
+    _write(south, "b.csv", "IMSI;Call Date\n2;20240101\n")
+    _write(south, "bad.parquet", "not a parquet file")
+    _write(f"{root}/tenant/south/bronze/settlement", "s.csv", "IMSI\n9\n")
+    seen = []
+
+    def handler(tenant, raw, batch, loaded_at):
+        seen.append((tenant, sorted(r.imsi for r in usage.clean_usage(raw).collect()), batch))
+
+    for checkpoint in ("one", "two"):
+        stream = ingest_stream(spark, root, "traffic", "bronze", f"{tmp_path}/{checkpoint}", handler, failed=failed, archive=f"{tmp_path}/done")
+        stream.awaitTermination()
+    assert sorted(s[:2] for s in seen) == [("north", ["1"])] * 2 + [("south", ["2"])] * 2
+    assert len({s[2] for s in seen}) == 2
+    listed = spark.read.parquet(failed).collect()
+    assert {r.path.rsplit("/", 1)[1] for r in listed} == {"bad.parquet"} and all(r.reason for r in listed)
+    assert os.path.exists(f"{root}/tenant/south/bronze/settlement/s.csv")
+
+
+def test_rows_that_do_not_fit_their_header_or_type_are_rejected(spark, tmp_path):
+    _write(str(tmp_path), "f.csv", "IMSI;Call Date;Duration;CDR Count\n1;20240101;1.5;3\n2;2024-13-45;1;3\n3;20240101;1;3.0\n4;20240101;12345678901234567;1\n5;20240101;1;3;extra\n6;20240101\n")
+    cleaned = usage.clean_usage(files.read_files(spark, [f"{tmp_path}/f.csv"], aliases=model.USAGE_ALIASES))
+    valid, invalid = usage.split_usage(cleaned)
+    assert {r.imsi for r in valid.collect()} == {"1"}
+    reasons = {r.imsi: r.reason for r in invalid.withColumn("reason", usage.usage_reasons(cleaned.columns)).collect()}
+    assert reasons == {"2": "call_date", "3": "event_count", "4": "duration", "5": "cells", "6": "cells"}
+
+
+def test_required_values_are_judged_by_the_rows_own_file(spark, tmp_path):
+    _write(str(tmp_path), "a.csv", "Home PMN,Partner PMN\nh,\n")
+    _write(str(tmp_path), "b.csv", "Home PMN,Note\nh,x\n")
+    cleaned = settlement.clean_settlement(files.read_files(spark, [f"{tmp_path}/{n}.csv" for n in "ab"]))
+    valid, invalid = settlement.split_settlement(cleaned)
+    assert [r.note for r in valid.collect()] == ["x"] and invalid.count() == 1

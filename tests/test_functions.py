@@ -81,6 +81,10 @@ def test_keys_ignore_spelling(spark):
 def test_int_key(spark):
     assert _one(spark, "abc", fn.int_key) == int(_md5("abc")[:15], 16)
     assert _one(spark, None, fn.int_key) is None
+    pairs = spark.createDataFrame([("A", None), (None, "A"), ("a|b", "c"), ("a", "b|c"), ("1:a", "b")], "x string, y string")
+    keys = {r[0] for r in pairs.select(fn.int_key(F.col("x"), F.col("y"))).collect()}
+    hashes = {r[0] for r in pairs.select(fn.row_hash(F.col("x"), F.col("y"))).collect()}
+    assert len(keys) == len(hashes) == 5
 
 
 def test_row_hash_tells_null_from_empty_and_keeps_positions(spark):

@@ -270,6 +270,10 @@ def test_reconcile_tolerances(spark):
 def test_with_type_refuses_lossy_casts(spark):
     df = spark.createDataFrame([("1",), (None,)], "n string")
     assert [r.n for r in tables.with_type(df, "n", "bigint").collect()] == [1, None]
+    for value, kind in ((1.75, "double"), (3.9, "decimal(3,1)")):
+        lossy = spark.range(1).select(F.lit(value).cast(kind).alias("n"))
+        with pytest.raises(Exception, match="does not fit"):
+            tables.with_type(lossy, "n", "bigint").collect()
     bad = tables.with_type(spark.createDataFrame([("x",)], "n string"), "n", "bigint")
     with pytest.raises(PySparkException):
         bad.collect()

@@ -91,6 +91,10 @@ def test_retire_partitions(spark, db):
         tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
         assert [r[0] for r in _rows(spark, name, "n")] == [3, 4]
         assert [r[0] for r in _rows(spark, archive, "n")] == [1, 2]
+    # A late row of a day that is archived already joins it.
+    tables.append_table(_days(spark, (9, "2020-01-01")), name)
+    tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
+    assert sorted(r[0] for r in _rows(spark, archive, "n")) == [1, 2, 9]
 
 
 def test_inventory(spark, db):

@@ -58,7 +58,8 @@ def from_members(members: DataFrame, dim: Dimension) -> DataFrame:
         return members.select(
             key,
             day.alias("call_date"),
-            F.col("attribute").alias("call_month"),
+            # A date has one month, whatever its rows say; only an unreadable date keeps theirs.
+            F.coalesce(F.date_format(day, "yyyy-MM"), F.col("attribute")).alias("call_month"),
             F.year(day).alias("year"),
             F.month(day).alias("month"),
             F.dayofmonth(day).alias("day"),
@@ -83,6 +84,21 @@ def new_members(candidates: DataFrame, existing: DataFrame, key: str) -> DataFra
     return candidates.join(existing.select(key), key, "left_anti")
 
 
+def filled_members(candidates: DataFrame, existing: DataFrame, key: str, attributes: Iterable[str]) -> DataFrame:
+    """Stored members that lack an attribute which the candidates know, with the attribute filled in.
+
+    Together with :func:`new_members` this makes the dimension independent of how rows fall into batches: a filled
+    attribute is kept, an empty one takes the first value that comes.
+    """
+    names = list(attributes)
+    if not names:
+        return existing.limit(0)
+    known = candidates.select(key, *[F.col(a).alias(f"__{a}") for a in names])
+    lacking = reduce(lambda x, y: x | y, [F.col(a).isNull() & F.col(f"__{a}").isNotNull() for a in names])
+    joined = existing.join(known, key).filter(lacking)
+    return joined.withColumns({a: F.coalesce(a, f"__{a}") for a in names}).select(*existing.columns)
+
+
 def forecast_actual_dimension(bronze: DataFrame) -> DataFrame:
     indicator = F.col("forecast_or_actual_ind")
     return (

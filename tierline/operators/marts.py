@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tierline.functions import date_key, is_forecast, variance_pct, year_month
 from tierline.functions.text import ACTUAL, FORECAST
 from tierline.model import (
-    FORECAST_MEASURES,
     USAGE_DAILY_COLUMNS,
     USAGE_DIMENSIONS,
     USAGE_MONTHLY_GRAIN,
@@ -24,16 +23,15 @@ USAGE_TOTALS = {
     "total_charge_sdr_net": "total_charge_sdr_net",
     "total_charge_sdr_gross": "total_charge_sdr_gross",
 }
-FORECAST_TOTALS = dict(
-    zip(
-        FORECAST_MEASURES,
-        (
-            "total_traffic_volume", "total_charged_volume", "total_tap_charge_net",
-            "total_tap_charge_gross", "total_discount_net", "total_discount_gross",
-        ),
-        strict=True,
-    )
-)
+# Published name of each summed measure.
+FORECAST_TOTALS = {
+    "traffic_volume": "total_traffic_volume",
+    "charged_volume": "total_charged_volume",
+    "tap_charge_sdr_net": "total_tap_charge_net",
+    "tap_charge_sdr_gross": "total_tap_charge_gross",
+    "disc_charge_sdr_net": "total_discount_net",
+    "disc_charge_sdr_gross": "total_discount_gross",
+}
 
 
 def lookup_columns(table: DataFrame, dim: Dimension) -> DataFrame:
@@ -81,6 +79,7 @@ def forecast_by_client_date(fact: DataFrame) -> DataFrame:
     return totals.select(
         F.col(keys[0]).cast("string").alias("client_key"),
         date_key(F.col("period_start_date")).alias("date_key"),
+        "forecast_or_actual_ind",
         is_forecast(F.col("forecast_or_actual_ind")).alias("is_forecast"),
         *totals.columns[len(keys) :],
     )
@@ -93,6 +92,7 @@ def forecast_by_service_direction(fact: DataFrame) -> DataFrame:
         F.col(keys[0]).cast("string").alias("service_type_key"),
         F.col("traffic_direction").alias("direction_key"),
         date_key(F.col("period_start_date")).alias("date_key"),
+        "forecast_or_actual_ind",
         is_forecast(F.col("forecast_or_actual_ind")).alias("is_forecast"),
         *totals.columns[len(keys) :],
     )
@@ -180,6 +180,7 @@ def forecast_monthly(fact: DataFrame) -> DataFrame:
     return totals.select(
         "year_month",
         F.col("client_master_entity_id").cast("string").alias("client_key"),
+        "forecast_or_actual_ind",
         is_forecast(F.col("forecast_or_actual_ind")).alias("is_forecast"),
         *totals.columns[len(keys) :],
     )

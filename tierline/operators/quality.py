@@ -145,23 +145,23 @@ def validate_bronze(bronze: DataFrame, key: str = "client_name") -> DataFrame:
         summary,
         "bronze",
         [
-            ("record_count", n > 0, F.when(n > 0, _text(n, " records found")).otherwise("No records found")),
-            ("null_keys", nulls == 0, F.when(nulls == 0, "No null keys").otherwise(_text(nulls, " null keys"))),
-            ("volume_ranges", F.lit(True), _text("Min: ", F.col("lo"), ", Max: ", F.col("hi"))),
-            ("date_coverage", F.lit(True), _text("From ", F.col("first"), " to ", F.col("last"))),
+            ("record_count", n > 0, F.when(n > 0, _text(n, " rows")).otherwise("nothing there")),
+            ("null_keys", nulls == 0, F.when(nulls == 0, "every key filled").otherwise(_text(nulls, " keys missing"))),
+            ("volume_ranges", F.lit(True), _text("lowest ", F.col("lo"), ", highest ", F.col("hi"))),
+            ("date_coverage", F.lit(True), _text("first ", F.col("first"), ", last ", F.col("last"))),
         ],
     )
 
 
-def validate_dimension(name: str, dimension: DataFrame) -> DataFrame:
-    n, extra = F.col("total"), F.col("total") - F.col("unique_rows")
+def validate_dimension(name: str, dimension: DataFrame, key: str) -> DataFrame:
+    n, extra = F.col("total"), F.col("total") - F.col("unique_keys")
     return _checks(
-        row_uniqueness(dimension),
+        uniqueness(dimension, key),
         "silver",
         [
-            (f"{name}_exists", n > 0, F.when(n > 0, _text(n, " records")).otherwise("Empty table")),
+            (f"{name}_exists", n > 0, F.when(n > 0, _text(n, " rows")).otherwise("nothing there")),
             (f"{name}_uniqueness", extra == 0,
-             F.when(extra == 0, "All records unique").otherwise(_text(extra, " duplicates found"))),
+             F.when(extra == 0, "keys differ").otherwise(_text(extra, " keys repeat"))),
         ],
     )
 
@@ -176,8 +176,8 @@ def validate_fact(fact: DataFrame, fact_key: str, dimension: DataFrame, dim_key:
         summary,
         "silver",
         [
-            ("fact_record_count", n > 0, F.when(n > 0, _text(n, " records")).otherwise("No records")),
-            ("null_measures", nulls == 0, F.when(nulls == 0, "No nulls").otherwise(_text(nulls, " null measures"))),
+            ("fact_record_count", n > 0, F.when(n > 0, _text(n, " rows")).otherwise("nothing there")),
+            ("null_measures", nulls == 0, F.when(nulls == 0, "every measure filled").otherwise(_text(nulls, " rows lack a measure"))),
         ],
     )
     keys = _checks(
@@ -185,7 +185,7 @@ def validate_fact(fact: DataFrame, fact_key: str, dimension: DataFrame, dim_key:
         "silver",
         [
             ("foreign_keys", missing == 0,
-             F.when(missing == 0, "All FKs valid").otherwise(_text(missing, " orphaned records"))),
+             F.when(missing == 0, "every key known").otherwise(_text(missing, " rows with an unknown key"))),
         ],
     )
     return union_all([counts, keys])
@@ -203,9 +203,9 @@ def validate_gold(name: str, gold: DataFrame, grain: Sequence[str]) -> DataFrame
         summary,
         "gold",
         [
-            (f"{name}_records", n > 0, F.when(n > 0, _text(n, " records")).otherwise("Empty table")),
+            (f"{name}_records", n > 0, F.when(n > 0, _text(n, " rows")).otherwise("nothing there")),
             (f"{name}_duplicates", dup == 0,
-             F.when(dup == 0, "No duplicates").otherwise(_text(dup, " duplicate keys"))),
+             F.when(dup == 0, "grain holds").otherwise(_text(dup, " keys repeat"))),
         ],
     )
 
@@ -216,7 +216,7 @@ def validate_totals(fact: DataFrame, gold: DataFrame) -> DataFrame:
         return (
             f"{measure}_accuracy",
             ok,
-            F.when(ok, "Accurate").otherwise(_text("Difference: ", F.col(f"{measure}_diff"))),
+            F.when(ok, "totals agree").otherwise(_text("totals differ by ", F.col(f"{measure}_diff"))),
         )
 
     return _checks(reconcile_totals(fact, gold), "gold", [verdict("volume"), verdict("charge")])
@@ -326,10 +326,13 @@ def week_over_week(daily: DataFrame, tolerance_pct: int = 20) -> DataFrame:
     """Days whose row count differs from the same day a week earlier by more than the tolerance.
 
     An equi-join on the shifted day: unlike a lag over an unpartitioned window it does not gather the
-    calendar in one task, and a gap in the calendar does not shift the comparison.
+    calendar in one task, and a gap in the calendar does not shift the comparison. A day up to the last one seen that has
+    no rows at all, a week after one that had some, deviates like any other.
     """
+    last = daily.agg(F.max("day").alias("last_day"))
     earlier = daily.select(F.date_add("day", 7).alias("day"), F.col("row_count").alias("previous"))
-    both = daily.join(earlier, "day")
+    due = earlier.join(F.broadcast(last), F.col("day") <= F.col("last_day")).drop("last_day")
+    both = due.join(daily, "day", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     deviates = F.abs(F.col("row_count") - F.col("previous")) * 100 > F.col("previous") * tolerance_pct
     return both.filter(deviates).select(
         "day",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.functions.text import ACTUAL, FORECAST
 from tierline.operators.rows import last_days
 
 
@@ -55,10 +56,12 @@ def variance_rollup(variance: DataFrame) -> DataFrame:
 
 
 def fa_ratio(gold: DataFrame) -> DataFrame:
-    """Forecast and actual record counts."""
-    return gold.agg(
-        F.count_if("is_forecast").alias("forecast_records"), F.count_if(~F.col("is_forecast")).alias("actual_records")
-    )
+    """Forecast and actual fact records behind the gold rows; rows of other indicators are neither."""
+
+    def records(indicator: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("forecast_or_actual_ind") == indicator, F.col("record_count"))), F.lit(0))
+
+    return gold.agg(records(FORECAST).alias("forecast_records"), records(ACTUAL).alias("actual_records"))
 
 
 def union_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

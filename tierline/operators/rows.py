@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tierline.functions import is_blank
 
-# Text accepted for a date and for a decimal.
+# Text accepted for a date, a decimal and an integer.
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 DECIMAL_TEXT = r"^-?\d+(\.\d+)?$"
+INTEGER_TEXT = r"^-?\d+$"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -52,21 +53,39 @@ def last_days(df: DataFrame, column: str, days: int, run_date: str) -> DataFrame
     return df.filter((F.col(column) >= F.date_sub(today, days)) & (F.col(column) <= today))
 
 
+def _written_as(kind: str) -> str:
+    if kind == "date":
+        return DATE_TEXT
+    return DECIMAL_TEXT if kind.startswith("decimal") else INTEGER_TEXT
+
+
+def misfit(name: str, kind: str) -> Column:
+    """A filled text that is not written like its type, or is and does not fit it: no such day, too many digits."""
+    value = F.col(name)
+    wrong = ~value.rlike(_written_as(kind)) | value.try_cast(kind).isNull()
+    return F.coalesce((value != "") & wrong, F.lit(False))
+
+
 def type_violation(columns: Sequence[str], types: Mapping[str, str]) -> Column:
-    """A filled text column that is not written like its target date or decimal type."""
-    broken = []
-    for name, kind in types.items():
-        if name not in columns:
-            continue
-        if kind == "date":
-            broken.append((F.col(name) != "") & ~F.col(name).rlike(DATE_TEXT))
-        elif kind.startswith("decimal"):
-            broken.append((F.col(name) != "") & ~F.col(name).rlike(DECIMAL_TEXT))
-    return F.coalesce(any_of([F.coalesce(b, F.lit(False)) for b in broken]), F.lit(False))
-
-
-def required_violation(columns: Sequence[str], required: Sequence[str]) -> Column:
-    """A required value is missing. When the source lacks one of the columns altogether, nothing is."""
+    """A filled text column that the cast to its type would turn into NULL, or that is written otherwise."""
+    return any_of([misfit(c, kind) for c, kind in types.items() if c in columns])
+
+
+def type_reasons(columns: Sequence[str], types: Mapping[str, str]) -> Column:
+    """Names of the columns that break :func:`type_violation`, joined by commas; empty for a valid row."""
+    return F.concat_ws(",", *[F.when(misfit(c, kind), c) for c, kind in types.items() if c in columns])
+
+
+def required_violation(columns: Sequence[str], required: Sequence[str], source_columns: str | None = None) -> Column:
+    """A required value is missing. When the source lacks one of the columns altogether, nothing is.
+
+    ``source_columns`` names a column that lists, between bars, the columns of the file each row came from; so a row is
+    judged alike whichever other files share its batch. Without it the frame's own columns count.
+    """
+    if source_columns in columns:
+        offered = all_of([F.contains(F.col(source_columns), F.lit(f"|{c}|")) for c in required])
+        missing = any_of([is_blank(F.col(c)) if c in columns else F.lit(True) for c in required])
+        return F.coalesce(offered, F.lit(False)) & missing
     if not set(required) <= set(columns):
         return F.lit(False)
     return any_of([is_blank(F.col(c)) for c in required])
@@ -81,8 +100,10 @@ def split_by_type(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, D
     return split(df, type_violation(df.columns, types))
 
 
-def split_by_required(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    return split(df, required_violation(df.columns, required))
+def split_by_required(
+    df: DataFrame, required: Sequence[str], source_columns: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    return split(df, required_violation(df.columns, required, source_columns))
 
 
 def split_stats(df: DataFrame, violation: Column) -> DataFrame:
@@ -101,5 +122,6 @@ def split_stats(df: DataFrame, violation: Column) -> DataFrame:
 
 
 def sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
-    """A preview of any ``n`` rows."""
-    return (df.select(*columns) if columns else df).limit(n)
+    """A preview: the first ``n`` rows by their shown columns, so it is the same each time. Each task keeps ``n`` at most."""
+    shown = df.select(*columns) if columns else df
+    return shown.orderBy(*shown.columns).limit(n)

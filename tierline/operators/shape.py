@@ -64,7 +64,7 @@ def remap_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFr
 def coalesce_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     """Row-wise variant of :func:`remap_columns`: the first alias that is not NULL in the row."""
     present = {c.lower(): c for c in df.columns}
-    found = {t: [present[a] for a in names if a in present] for t, names in aliases.items()}
+    found = {t: [present[a.lower()] for a in names if a.lower() in present] for t, names in aliases.items()}
     used = {c for columns in found.values() for c in columns}
     targets = [F.coalesce(*[F.col(c) for c in columns]).alias(t) for t, columns in found.items() if columns]
     return df.select(*targets, *[c for c in df.columns if c not in used and c not in found])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierline.model import DIMENSION_TABLES, FORECAST_TYPES, TABLES, TableSpec, table_spec
 from tierline.operators import dimensions as dims
 from tierline.operators import facts, marts, quality, tables
+from tierline.operators.rows import any_of
 from tierline.operators.shape import (
     add_load_columns,
     cast_columns,
@@ -15,6 +16,7 @@ from tierline.operators.shape import (
     select_available,
     stamp,
 )
+from tierline.scratch import staged
 
 FORECAST_DIMENSIONS = ("dim_forecast_actual", "dim_partner", "dim_agreement")
 GOLD = {
@@ -46,7 +48,7 @@ def forecast_fact(bronze: DataFrame, run_at: str, ingestion_id: str = "forecast_
 def quality_report(bronze: DataFrame, dimensions: dict[str, DataFrame], fact: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
     """Every check of every layer: (layer, check_name, passed, details). ``gold`` is keyed by domain."""
     checks = [quality.validate_bronze(bronze)]
-    checks += [quality.validate_dimension(name, d) for name, d in dimensions.items()]
+    checks += [quality.validate_dimension(name, d, DIMENSION_TABLES[name].grain[0]) for name, d in dimensions.items()]
     checks.append(quality.validate_fact(fact, "partner_master_entity_id", dimensions["dim_partner"], "partner_id"))
     for domain, frame in gold.items():
         spec = TABLES[domain, "gold"]
@@ -72,10 +74,10 @@ def create_forecast_tables(spark: SparkSession, tenant: str) -> None:
 
 
 def load_forecast(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str) -> None:
-    """One batch through all layers; only the periods it holds are rebuilt. Safe to repeat."""
+    """One batch through all layers; only the periods it holds, or held in an earlier run, are rebuilt. Safe to repeat."""
     create_forecast_tables(spark, tenant)
     bronze_name = table_spec("forecast", "bronze").full_name(tenant)
-    tables.overwrite_partitions(forecast_bronze(raw, loaded_at).withColumn("_batch", F.lit(batch)), bronze_name)
+    tables.replace_batch(forecast_bronze(raw, loaded_at).withColumn("_batch", F.lit(batch)), bronze_name, batch)
     bronze = spark.table(bronze_name).filter(F.col("_batch") == batch)
 
     for name, built in build_dimensions(bronze, loaded_at).items():
@@ -85,20 +87,29 @@ def load_forecast(spark: SparkSession, tenant: str, raw: DataFrame, batch: str,
 
     stored = {d: spark.table(DIMENSION_TABLES[d].full_name(tenant)) for d in FORECAST_DIMENSIONS}
     fact_name = table_spec("forecast", "silver").full_name(tenant)
+    before = {p["period_start_date"] for p in tables.partitions_of(spark, fact_name, _batch=batch)}
     fact = facts.forecast_fact(bronze, stored["dim_partner"], stored["dim_agreement"], f"forecast_{batch}")
-    tables.overwrite_partitions(stamp(fact, loaded_at).withColumn("_batch", F.lit(batch)), fact_name)
+    fact = staged(stamp(fact, loaded_at).withColumn("_batch", F.lit(batch)), "fact")
+    now = {r[0] for r in fact.select(F.col("period_start_date").cast("string")).distinct().collect()}
+    tables.overwrite_partitions(fact, fact_name)
+    periods = sorted(before | now, key=lambda p: (p is None, p or ""))
+    stale = [p for p in periods if p not in now]
 
     whole = spark.table(fact_name)
-    periods = whole.filter(F.col("_batch") == batch).select(F.col("period_start_date").alias("period")).distinct()
-    same_period = F.col("period_start_date").eqNullSafe(F.col("period"))
-    touched = whole.join(F.broadcast(periods), same_period, "left_semi")
+    outdated = (F.col("_batch") == batch) & tables.among("period_start_date", stale)
+    whole = whole.filter(~F.coalesce(outdated, F.lit(False)))
+    touched = whole.filter(tables.among("period_start_date", periods))
     for domain, build in GOLD.items():
-        tables.overwrite_partitions(stamp(build(touched), loaded_at), table_spec(domain, "gold").full_name(tenant))
-    months = periods.select(F.trunc("period", "month").alias("month")).distinct()
-    same_month = F.trunc("period_start_date", "month").eqNullSafe(F.col("month"))
-    whole_months = whole.join(F.broadcast(months), same_month, "left_semi")
-    monthly = stamp(marts.forecast_monthly(whole_months), loaded_at)
-    tables.overwrite_partitions(monthly, table_spec("forecast_monthly", "gold").full_name(tenant))
+        name = table_spec(domain, "gold").full_name(tenant)
+        tables.replace_values(stamp(build(touched), loaded_at), name, "date_key", periods)
+    months = sorted({p and p[:7] for p in periods}, key=lambda m: (m is None, m or ""))
+    # Ranges of the partition column, so only the months' partitions are read.
+    day = F.col("period_start_date")
+    in_months = [day.isNull() if m is None else (day >= F.lit(f"{m}-01").cast("date")) & (day <= F.last_day(F.lit(f"{m}-01").cast("date"))) for m in months]
+    monthly = stamp(marts.forecast_monthly(whole.filter(any_of(in_months))), loaded_at)
+    tables.replace_values(monthly, table_spec("forecast_monthly", "gold").full_name(tenant), "year_month", months)
+    # Last, so that a run that stops before knows from them which periods to rebuild.
+    tables.drop_partitions(spark, fact_name, [{"period_start_date": p, "_batch": batch} for p in stale])
 
 
 def stored_quality_report(spark: SparkSession, tenant: str) -> DataFrame:

@@ -76,11 +76,15 @@ USAGE = {
 
 _NUMBER = "'^-?\\d+(\\.\\d+)?$'"
 _ISO = "'^\\d{4}-\\d{2}-\\d{2}$'"
-_BAD = " OR ".join(
-    f"coalesce({c} <> '' AND NOT regexp_matches({c}, {_ISO if t == 'date' else _NUMBER}), false)"
-    for c, t in USAGE_TYPES.items()
-    if t != "bigint"
-)
+
+
+def _misfit(c: str, t: str) -> str:
+    shape = _ISO if t == "date" else _NUMBER if t.startswith("decimal") else "'^-?\\d+$'"
+    return f"coalesce({c} <> '' AND (NOT regexp_matches({c}, {shape}) OR try_cast({c} AS {t}) IS NULL), false)"
+
+
+_BAD = " OR ".join(_misfit(c, t) for c, t in USAGE_TYPES.items())
+_REASON = "concat_ws(',', " + ", ".join(f"CASE WHEN {_misfit(c, t)} THEN '{c}' END" for c, t in USAGE_TYPES.items()) + ")"
 
 _UNKNOWN_KEYS = {k: f"coalesce(lower(trim({c})), 'unknown')" for k, c in USAGE_FACT_KEYS.items()}
 _DEC_MEASURES = [m for m in USAGE_MEASURES if m != "event_count"]
@@ -113,14 +117,19 @@ def _dimension_sql(table: str) -> str:
     return _dimension(table, d.natural, d.key, f"label AS {d.label}", attribute, extra)
 
 
+def _spelled(columns) -> str:
+    """Each value behind its length, NULL as a dash, all in one text."""
+    return " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in columns)
+
+
 def _int_key(*columns: str) -> str:
-    joined = f"concat_ws('|', {', '.join(columns)})"
+    joined = columns[0] if len(columns) == 1 else _spelled(columns)
     filled = " OR ".join(f"{c} IS NOT NULL" for c in columns)
     return f"CASE WHEN {filled} THEN ('0x' || substr(md5({joined}), 1, 15))::bigint END"
 
 
 def _row_hash(columns) -> str:
-    return "md5(concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '\\N')" for c in columns) + "))"
+    return f"md5({_spelled(columns)})"
 
 
 FORECAST = {
@@ -355,20 +364,20 @@ _F_TOTALS = (
 )
 CTES["client_date"] = (
     "SELECT client_master_entity_id::varchar AS client_key, strftime(period_start_date, '%Y-%m-%d') AS date_key, "
-    f"forecast_or_actual_ind = 'F' AS is_forecast, {_F_TOTALS} FROM ffact "
+    f"forecast_or_actual_ind, forecast_or_actual_ind = 'F' AS is_forecast, {_F_TOTALS} FROM ffact "
     "GROUP BY client_master_entity_id, period_start_date, forecast_or_actual_ind",
     ("ffact",),
 )
 CTES["service_direction"] = (
     "SELECT iot_service_type_id::varchar AS service_type_key, traffic_direction AS direction_key, "
     "strftime(period_start_date, '%Y-%m-%d') AS date_key, "
-    f"forecast_or_actual_ind = 'F' AS is_forecast, {_F_TOTALS} FROM ffact "
+    f"forecast_or_actual_ind, forecast_or_actual_ind = 'F' AS is_forecast, {_F_TOTALS} FROM ffact "
     "GROUP BY iot_service_type_id, traffic_direction, period_start_date, forecast_or_actual_ind",
     ("ffact",),
 )
 CTES["monthly_forecast"] = (
     "SELECT strftime(period_start_date, '%Y-%m') AS year_month, client_master_entity_id::varchar AS client_key, "
-    "forecast_or_actual_ind = 'F' AS is_forecast, sum(traffic_volume)::decimal(30,2) AS total_traffic_volume, "
+    "forecast_or_actual_ind, forecast_or_actual_ind = 'F' AS is_forecast, sum(traffic_volume)::decimal(30,2) AS total_traffic_volume, "
     "sum(charged_volume)::decimal(30,2) AS total_charged_volume, "
     "sum(tap_charge_sdr_net + disc_charge_sdr_net)::decimal(30,5) AS total_charges_net, "
     "sum(no_of_records)::bigint AS record_count FROM ffact "
@@ -442,17 +451,17 @@ def _none_of(layer: str, name: str, source: str, good: str, suffix: str) -> str:
 
 def _quality() -> tuple[str, tuple[str, ...]]:
     parts = [
-        _exists("bronze", "record_count", "SELECT count(*) AS n FROM forecast", "No records found", " records found"),
+        _exists("bronze", "record_count", "SELECT count(*) AS n FROM forecast", "nothing there", " rows"),
         _none_of(
             "bronze", "null_keys", "SELECT count(*) AS k FROM forecast WHERE client_name IS NULL",
-            "No null keys", " null keys",
+            "every key filled", " keys missing",
         ),
         _checks(
             "bronze",
             "SELECT min(traffic_volume) AS lo, max(traffic_volume) AS hi, min(period_start_date)::date AS first, "
             "max(period_start_date)::date AS last FROM forecast",
-            ("volume_ranges", "true", "'Min: ' || lo::varchar || ', Max: ' || hi::varchar"),
-            ("date_coverage", "true", "'From ' || first::varchar || ' to ' || last::varchar"),
+            ("volume_ranges", "true", "'lowest ' || lo::varchar || ', highest ' || hi::varchar"),
+            ("date_coverage", "true", "'first ' || first::varchar || ', last ' || last::varchar"),
         ),
     ]
     sources = {
@@ -462,27 +471,27 @@ def _quality() -> tuple[str, tuple[str, ...]]:
         "dim_agreement": "SELECT * FROM agreements",
     }
     for name, source in sources.items():
-        parts.append(_exists("silver", f"{name}_exists", f"SELECT count(*) AS n FROM ({source})", "Empty table", " records"))
+        parts.append(_exists("silver", f"{name}_exists", f"SELECT count(*) AS n FROM ({source})", "nothing there", " rows"))
         repeated = f"SELECT (SELECT count(*) FROM ({source})) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({source}))) AS k"
-        parts.append(_none_of("silver", f"{name}_uniqueness", repeated, "All records unique", " duplicates found"))
-    parts.append(_exists("silver", "fact_record_count", "SELECT count(*) AS n FROM ffact", "No records", " records"))
+        parts.append(_none_of("silver", f"{name}_uniqueness", repeated, "keys differ", " keys repeat"))
+    parts.append(_exists("silver", "fact_record_count", "SELECT count(*) AS n FROM ffact", "nothing there", " rows"))
     nulls = "SELECT count(*) AS k FROM ffact WHERE traffic_volume IS NULL OR charged_volume IS NULL"
-    parts.append(_none_of("silver", "null_measures", nulls, "No nulls", " null measures"))
+    parts.append(_none_of("silver", "null_measures", nulls, "every measure filled", " rows lack a measure"))
     missing = (
         "SELECT count(*) AS k FROM ffact f WHERE NOT EXISTS "
         "(SELECT 1 FROM partners p WHERE p.partner_id = f.partner_master_entity_id)"
     )
-    parts.append(_none_of("silver", "foreign_keys", missing, "All FKs valid", " orphaned records"))
+    parts.append(_none_of("silver", "foreign_keys", missing, "every key known", " rows with an unknown key"))
     gold = {
-        "forecast_by_client_date": ("client_date", "client_key, date_key, is_forecast"),
-        "forecast_by_service_direction": ("service_direction", "service_type_key, direction_key, date_key, is_forecast"),
+        "forecast_by_client_date": ("client_date", "client_key, date_key, forecast_or_actual_ind"),
+        "forecast_by_service_direction": ("service_direction", "service_type_key, direction_key, date_key, forecast_or_actual_ind"),
         "forecast_vs_actual_comparison": ("variance", "client_key, service_type_key, direction_key, date_key"),
-        "forecast_summary_monthly": ("monthly_forecast", "year_month, client_key, is_forecast"),
+        "forecast_summary_monthly": ("monthly_forecast", "year_month, client_key, forecast_or_actual_ind"),
     }
     for name, (source, grain) in gold.items():
-        parts.append(_exists("gold", f"{name}_records", f"SELECT count(*) AS n FROM {source}", "Empty table", " records"))
+        parts.append(_exists("gold", f"{name}_records", f"SELECT count(*) AS n FROM {source}", "nothing there", " rows"))
         repeated = f"SELECT count(*) AS k FROM (SELECT {grain} FROM {source} GROUP BY {grain} HAVING count(*) > 1)"
-        parts.append(_none_of("gold", f"{name}_duplicates", repeated, "No duplicates", " duplicate keys"))
+        parts.append(_none_of("gold", f"{name}_duplicates", repeated, "grain holds", " keys repeat"))
     for name, in_fact, in_gold, limit in (
         ("volume", "traffic_volume", "total_traffic_volume", "1.0"),
         ("charge", "tap_charge_sdr_net", "total_tap_charge_net", "0.01"),
@@ -495,7 +504,7 @@ def _quality() -> tuple[str, tuple[str, ...]]:
             _checks(
                 "gold", source,
                 (f"{name}_accuracy", f"diff < {limit}",
-                 f"CASE WHEN diff < {limit} THEN 'Accurate' ELSE 'Difference: ' || diff::varchar END"),
+                 f"CASE WHEN diff < {limit} THEN 'totals agree' ELSE 'totals differ by ' || diff::varchar END"),
             )
         )
     reads = ("forecast", "partners", "agreements", "ffact", "client_date", "service_direction", "variance", "monthly_forecast")
@@ -523,6 +532,24 @@ def _statement(body: str, *reads: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][0]})" for n in ordered) + "\n" + body
 
 
+_TENANT = "CASE WHEN batch_id IN ('O', 'P') THEN 'south' ELSE 'north' END"
+_MONTHLY = (
+    f"SELECT {', '.join(USAGE_MONTHLY_GRAIN)}, "
+    + ", ".join(
+        f"sum({t})::{'bigint' if t == 'total_event_count' else 'decimal(38,6)'} AS {t}"
+        for t in ("total_duration", "total_volume", "total_event_count", "total_charge_sdr_net", "total_charge_sdr_gross")
+    )
+    + ", count(DISTINCT imsi) AS distinct_imsi_count, count(DISTINCT apn) AS distinct_apn_count "
+)
+# What stays after the incoming rows were loaded again without the oldest year.
+CTES["ffact_kept"] = (
+    "SELECT * FROM ffact WHERE NOT (traffic_direction = 'CR' AND year(period_start_date) = "
+    "(SELECT min(year(period_start_date)) FROM forecast))",
+    ("ffact", "forecast"),
+)
+CTES["client_date_kept"] = (CTES["client_date"][0].replace("FROM ffact ", "FROM ffact_kept "), ("ffact_kept",))
+
+
 def _counts(names) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in names)
 
@@ -573,13 +600,44 @@ def sql() -> dict[str, str]:
             "forecast",
         ),
         "landing_ingest": s(
-            f"SELECT {landed_cols}, CASE batch_id WHEN 'F' THEN 'ee' ELSE 'orange' END AS _tenant, "
+            f"SELECT {landed_cols}, {_TENANT} AS _tenant, "
             "'bronze' AS _layer, 'traffic' AS _stage, "
             "CASE batch_id WHEN 'P' THEN 'parquet' ELSE 'csv' END AS _source_format, "
             "DATE '2026-07-01' AS _ingest_date FROM bronze",
             "bronze",
         ),
         "stream_ingest": s(f"SELECT {landed_cols} FROM bronze", "bronze"),
+        "stream_two_tenants": s(
+            f"SELECT {_TENANT} AS tenant, event_type_id, client_pmn, count(*) AS row_count, "
+            "sum(volume::decimal(18,6))::decimal(28,6) AS volume FROM bronze GROUP BY 1, 2, 3",
+            "bronze",
+        ),
+        "mixed_headers": s(
+            "SELECT "
+            + ", ".join(
+                "CASE WHEN batch_id IN ('O', 'P') THEN nullif(partner_pmn, '') END AS partner_pmn"
+                if c == "partner_pmn"
+                else c
+                for c in USAGE
+            )
+            + " FROM cleaned",
+            "cleaned",
+        ),
+        "split_reasons": s(
+            f"SELECT {_REASON} AS reason, count(*) AS row_count FROM cleaned WHERE {_BAD} GROUP BY 1", "cleaned"
+        ),
+        "samples": s(
+            f"SELECT call_date, duration, volume FROM cleaned WHERE {_BAD} "
+            "ORDER BY call_date NULLS FIRST, duration NULLS FIRST, volume NULLS FIRST LIMIT 3",
+            "cleaned",
+        ),
+        "forecast_reload": s("SELECT * FROM client_date_kept", "client_date_kept"),
+        "settlement_reload": s(
+            "SELECT * FROM settlement_gold WHERE NOT (event_type = 'O' AND traffic_direction = 'VR')", "settlement_gold"
+        ),
+        "archived_rows": "SELECT date_trunc('month', o_orderdate)::date AS month, count(*) AS row_count FROM orders "
+        "WHERE date_trunc('month', o_orderdate)::date < "
+        "((SELECT max(o_orderdate)::date FROM orders) - INTERVAL 24 MONTH)::date GROUP BY 1",
         "delimiter_detect": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, {d} AS delimiter, "
             f"(SELECT count(*) FROM (DESCRIBE {t}))::int AS column_count WHERE EXISTS (SELECT 1 FROM {t})"
@@ -613,18 +671,7 @@ def sql() -> dict[str, str]:
         ),
         "usage_fact": s("SELECT * FROM fact", "fact"),
         "gold_daily": s("SELECT * FROM daily", "daily"),
-        "gold_monthly": s(
-            f"SELECT {', '.join(USAGE_MONTHLY_GRAIN)}, "
-            + ", ".join(
-                f"sum({t})::{'bigint' if t == 'total_event_count' else 'decimal(38,6)'} AS {t}"
-                for t in (
-                    "total_duration", "total_volume", "total_event_count", "total_charge_sdr_net", "total_charge_sdr_gross",
-                )
-            )
-            + ", count(DISTINCT imsi) AS distinct_imsi_count, count(DISTINCT apn) AS distinct_apn_count "
-            f"FROM daily GROUP BY {', '.join(USAGE_MONTHLY_GRAIN)}",
-            "daily",
-        ),
+        "gold_monthly": s(_MONTHLY + "FROM daily GROUP BY " + ", ".join(USAGE_MONTHLY_GRAIN), "daily"),
         "forecast_fact": s("SELECT * FROM ffact", "ffact"),
         "documented_forecast_fact": s(_documented(), "forecast"),
         "by_client_date": s("SELECT * FROM client_date", "client_date"),
@@ -643,15 +690,16 @@ def sql() -> dict[str, str]:
             "variance",
         ),
         "fa_ratio": s(
-            "SELECT count(*) FILTER (WHERE is_forecast) AS forecast_records, "
-            "count(*) FILTER (WHERE NOT is_forecast) AS actual_records FROM client_date",
-            "client_date",
+            "SELECT count(*) FILTER (WHERE forecast_or_actual_ind = 'F') AS forecast_records, "
+            "count(*) FILTER (WHERE forecast_or_actual_ind = 'A') AS actual_records FROM ffact",
+            "ffact",
         ),
         "top_clients": s(
             "SELECT c.client_name, sum(g.total_traffic_volume)::decimal(38,2) AS volume FROM client_date g "
             f"JOIN (SELECT DISTINCT client_name, {_int_key('client_name', 'client_group_name')}::varchar AS client_key "
             "FROM forecast WHERE client_name IS NOT NULL AND client_group_name IS NOT NULL) c "
-            "ON g.client_key = c.client_key WHERE g.date_key::date BETWEEN DATE '2000-11-04' AND DATE '2001-11-04' "
+            "ON g.client_key = c.client_key WHERE g.date_key::date BETWEEN (SELECT max(period_start_date)::date - 365 FROM forecast) "
+            "AND (SELECT max(period_start_date)::date FROM forecast) "
             "GROUP BY c.client_name ORDER BY volume DESC, c.client_name LIMIT 10",
             "client_date",
         ),
@@ -681,7 +729,7 @@ def sql() -> dict[str, str]:
         "recent_rows": s(
             "SELECT call_date::date AS day, service_type_id, count(*) AS row_count, "
             "sum(volume::decimal(18,6))::decimal(28,6) AS volume FROM bronze "
-            "WHERE call_date::date BETWEEN DATE '2001-10-28' AND DATE '2001-11-04' GROUP BY 1, 2",
+            "WHERE call_date::date >= (SELECT max(call_date::date) - 7 FROM bronze) GROUP BY 1, 2",
             "bronze",
         ),
         "indicator_rows": s(
@@ -711,9 +759,9 @@ def sql() -> dict[str, str]:
         ),
         "orphans": s(
             "SELECT iot_agreement_id AS missing_key, count(*) AS fact_rows FROM ffact f WHERE NOT EXISTS "
-            "(SELECT 1 FROM forecast b WHERE b.service_type <> 'ECONOMY' AND b.agreement_reference < 'AGR_3' "
-            f"AND {_int_key('b.agreement_reference')} = f.iot_agreement_id) GROUP BY iot_agreement_id",
-            "ffact",
+            f"(SELECT 1 FROM settlement b WHERE {_int_key('b.agreement_reference')} = f.iot_agreement_id) "
+            "GROUP BY iot_agreement_id",
+            "ffact", "settlement",
         ),
         "orphan_count": s("SELECT count(*) AS orphaned FROM ffact WHERE iot_agreement_id IS NULL", "ffact"),
         "reconcile": s(
@@ -783,21 +831,21 @@ def sql() -> dict[str, str]:
         ),
         "daily_counts": "SELECT ts::date AS day, count(*) AS row_count FROM events GROUP BY 1",
         "freshness": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_load, count(*) AS records, "
-        "CASE WHEN max(ts) < TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1 DAY THEN 'STALE_DATA' ELSE 'OK' END AS status "
+        "CASE WHEN max(ts) < max(ts) + INTERVAL 12 HOUR - INTERVAL 1 DAY THEN 'STALE_DATA' ELSE 'OK' END AS status "
         "FROM events",
         "alerts": _alerts(),
         "forecast_alerts": s(
             "SELECT day, 'no_records' AS alert, 'no rows for ' || category AS details FROM "
             "(SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH))::date AS day FROM "
             "(SELECT min(period_start_date) AS lo, max(period_start_date) AS hi FROM forecast)) d, "
-            "(VALUES ('F'), ('A'), ('X')) c(category) WHERE NOT EXISTS (SELECT 1 FROM forecast f "
+            "(VALUES ('F'), ('A'), ('B'), ('X')) c(category) WHERE NOT EXISTS (SELECT 1 FROM forecast f "
             "WHERE f.period_start_date::date = d.day AND f.forecast_or_actual_ind = c.category)",
             "forecast",
         ),
         "schema_evolution": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice AS gross_amount, "
         "left(o_orderpriority, 1)::bigint AS o_priority, NULL::date AS settled_on FROM orders",
         "retired_rows": "SELECT year(o_orderdate)::int AS year, count(*) AS row_count FROM orders "
-        "WHERE o_orderdate::date < DATE '1999-11-04' GROUP BY 1",
+        "WHERE o_orderdate::date < ((SELECT max(o_orderdate)::date FROM orders) - INTERVAL 24 MONTH)::date GROUP BY 1",
         "blank_keys": s(
             "SELECT trim(coalesce(partner_pmn, '')) = '' AS blank_partner, count(*) AS row_count FROM cleaned GROUP BY 1",
             "cleaned",
@@ -831,13 +879,11 @@ def _alerts() -> str:
     return (
         "WITH daily AS (SELECT ts::date AS day, count(*) AS n FROM events GROUP BY 1), "
         "calendar AS (SELECT unnest(generate_series(min(day)::timestamp, max(day)::timestamp, INTERVAL 1 DAY))::date "
-        "AS day FROM daily) "
-        "SELECT d.day, 'volume_deviation' AS alert, "
-        "d.n::varchar || ' rows, ' || p.n::varchar || ' a week earlier' AS details FROM daily d "
-        "JOIN daily p ON d.day = p.day + 7 WHERE abs(d.n - p.n) * 100 > p.n * 20 "
-        "UNION ALL SELECT c.day, 'no_records', 'no rows for ' || k.kind FROM calendar c, "
-        "(VALUES ('click'), ('view'), ('purchase'), ('error'), ('signup'), ('refund')) k(kind) "
-        "WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.ts::date = c.day AND e.event_type = k.kind) "
-        "UNION ALL SELECT DATE '2024-01-31', 'stale', 'last load ' || strftime(m, '%Y-%m-%d %H:%M:%S') "
-        "FROM (SELECT max(ts) AS m FROM events) WHERE m < TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1 DAY"
+        "AS day FROM daily), kinds AS (SELECT DISTINCT event_type AS kind FROM events UNION SELECT 'refund') "
+        "SELECT (p.day + 7)::date AS day, 'volume_deviation' AS alert, "
+        "coalesce(d.n, 0)::varchar || ' rows, ' || p.n::varchar || ' a week earlier' AS details FROM daily p "
+        "LEFT JOIN daily d ON d.day = p.day + 7 WHERE p.day + 7 <= (SELECT max(day) FROM daily) "
+        "AND abs(coalesce(d.n, 0) - p.n) * 100 > p.n * 20 "
+        "UNION ALL SELECT c.day, 'no_records', 'no rows for ' || k.kind FROM calendar c, kinds k "
+        "WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.ts::date = c.day AND e.event_type = k.kind)"
     )

@@ -14,7 +14,7 @@ from tierline.model import (
     table_spec,
 )
 from tierline.operators import tables
-from tierline.operators.rows import filter_empty_rows, split_by_required
+from tierline.operators.rows import filter_empty_rows, required_violation, split
 from tierline.operators.shape import (
     add_audit_columns,
     align_typed,
@@ -22,7 +22,7 @@ from tierline.operators.shape import (
     normalize_columns,
     rename_headers,
 )
-from tierline.sources.files import SOURCE_PATH, tenant_of
+from tierline.sources.files import SOURCE, SOURCE_COLUMNS, SOURCE_PATH, SOURCE_TEXT, tenant_of
 
 
 def date_columns() -> list[str]:
@@ -34,12 +34,16 @@ def decimal_columns() -> list[str]:
 
 
 def clean_settlement(raw: DataFrame) -> DataFrame:
-    named = normalize_columns(rename_headers(raw, SETTLEMENT_HEADERS), keep=[SOURCE_PATH])
-    return cast_all_to_string(filter_empty_rows(named, ignore=[SOURCE_PATH]))
+    named = normalize_columns(rename_headers(raw, SETTLEMENT_HEADERS), keep=SOURCE)
+    return cast_all_to_string(filter_empty_rows(named, ignore=SOURCE))
 
 
 def split_settlement(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by_required(cleaned, SETTLEMENT_REQUIRED_VALUES)
+    """(valid, invalid): required values are there, and the row has the cells of its header."""
+    violation = required_violation(cleaned.columns, SETTLEMENT_REQUIRED_VALUES, SOURCE_COLUMNS)
+    if SOURCE_TEXT in cleaned.columns:
+        violation = violation | F.col(SOURCE_TEXT).isNotNull()
+    return split(cleaned, violation)
 
 
 def settlement_gold(raw: DataFrame) -> DataFrame:
@@ -50,7 +54,7 @@ def settlement_gold(raw: DataFrame) -> DataFrame:
 def load_settlement(
     spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str
 ) -> None:
-    """One batch of raw rows (with their file path); a repeat replaces the batch's own partition."""
+    """One batch of raw rows (with their file path); a repeat, also on another day, replaces what the batch wrote."""
     tables.create_schemas(spark, tenant)
     name = tables.create_from_spec(spark, tenant, table_spec("settlement", "gold"))
     path = F.col(SOURCE_PATH)
@@ -58,7 +62,7 @@ def load_settlement(
         clean_settlement(raw), path, tenant=tenant_of(path), layer="gold", domain="settlement", ingested_at=loaded_at
     )
     valid, invalid = split_settlement(audited)
-    lineage = [c for c in audited.columns if c.startswith("_") and c != SOURCE_PATH]
+    lineage = [c for c in audited.columns if c.startswith("_") and c not in SOURCE]
     gold = align_typed(valid, schema_of(SETTLEMENT_DDL), *lineage)
-    tables.overwrite_partitions(gold.withColumn("_batch", F.lit(batch)), name)
+    tables.replace_batch(gold.withColumn("_batch", F.lit(batch)), name, batch)
     tables.quarantine_csv(invalid, f"{quarantine}/_batch={batch}")

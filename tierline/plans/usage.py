@@ -21,7 +21,7 @@ from tierline.model import (
 )
 from tierline.operators import dimensions as dims
 from tierline.operators import facts, marts, tables
-from tierline.operators.rows import filter_empty_rows, split_by_type, type_violation
+from tierline.operators.rows import filter_empty_rows, split, type_reasons, type_violation
 from tierline.operators.shape import (
     add_audit_columns,
     cast_all_to_string,
@@ -31,7 +31,7 @@ from tierline.operators.shape import (
     stamp,
 )
 from tierline.scratch import staged
-from tierline.sources.files import SOURCE_PATH, tenant_of
+from tierline.sources.files import SOURCE, SOURCE_PATH, SOURCE_TEXT, tenant_of
 
 BOUNDED = [d for d in USAGE_DIMENSIONS.values() if not d.unbounded]
 UNBOUNDED = [d for d in USAGE_DIMENSIONS.values() if d.unbounded]
@@ -39,14 +39,28 @@ UNBOUNDED = [d for d in USAGE_DIMENSIONS.values() if d.unbounded]
 
 def clean_usage(raw: DataFrame) -> DataFrame:
     """Blank rows out, headers normalised and mapped, everything text, compact dates rewritten."""
-    rows = filter_empty_rows(raw, ignore=[SOURCE_PATH])
-    named = remap_columns(normalize_columns(rows, keep=[SOURCE_PATH]), USAGE_ALIASES)
+    rows = filter_empty_rows(raw, ignore=SOURCE)
+    named = remap_columns(normalize_columns(rows, keep=SOURCE), USAGE_ALIASES)
     return normalize_dates(cast_all_to_string(named), "call_date")
 
 
+def usage_violation(columns: list[str]) -> Column:
+    """A value that does not fit its type, or a row with more or fewer cells than its header."""
+    broken = type_violation(columns, USAGE_TYPES)
+    return broken | F.col(SOURCE_TEXT).isNotNull() if SOURCE_TEXT in columns else broken
+
+
+def usage_reasons(columns: list[str]) -> Column:
+    """What is wrong with a row: the columns that do not fit, or ``cells`` for a row that its header does not fit."""
+    reasons = type_reasons(columns, USAGE_TYPES)
+    if SOURCE_TEXT not in columns:
+        return reasons
+    return F.when(F.col(SOURCE_TEXT).isNotNull(), "cells").otherwise(reasons)
+
+
 def split_usage(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) by the types the text takes in silver."""
-    return split_by_type(cleaned, USAGE_TYPES)
+    return split(cleaned, usage_violation(cleaned.columns))
 
 
 def usage_bronze(raw: DataFrame) -> DataFrame:
@@ -95,16 +109,21 @@ def create_usage_tables(spark: SparkSession, tenant: str) -> None:
 def load_usage(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str) -> None:
     """One batch of raw rows (with their file path) through bronze, silver and gold.
 
-    Every step replaces partitions or inserts missing keys, so a batch can be repeated after any failure.
-    The work follows the batch: bronze is read for this batch only, and the fact, daily and monthly tables
+    Every step replaces partitions or inserts missing keys, so a batch can be repeated after any failure, on another day,
+    and with other rows than before: whatever the earlier run left is replaced, and the days that only it had are rebuilt
+    without it. The work follows the batch: bronze is read for this batch only, and the fact, daily and monthly tables
     are rebuilt for the days and months it touches, from per-batch partial sums instead of from bronze.
     """
     create_usage_tables(spark, tenant)
     write_bronze(tenant, raw, batch, loaded_at, quarantine)
     batch_rows = accepted_rows(spark, tenant).filter(F.col("_batch") == batch)
     update_dimensions(spark, tenant, batch_rows, loaded_at)
-    update_fact(spark, tenant, batch_rows, batch, loaded_at)
-    update_gold(spark, tenant, batch, loaded_at)
+    days, stale = write_increment(spark, tenant, batch_rows, batch)
+    update_fact(spark, tenant, batch, days, stale, loaded_at)
+    update_gold(spark, tenant, days, loaded_at)
+    # Last, so that a run that stops before knows from them which days to rebuild.
+    increment = table_spec("traffic_increment", "silver").full_name(tenant)
+    tables.drop_partitions(spark, increment, [{"call_day": d, "_batch": batch} for d in stale])
 
 
 def accepted_rows(spark: SparkSession, tenant: str) -> DataFrame:
@@ -121,17 +140,22 @@ def write_bronze(tenant: str, raw: DataFrame, batch: str, loaded_at: str, quaran
     cleaned = add_audit_columns(
         clean_usage(raw), path, tenant=tenant_of(path), layer="bronze", domain="traffic", ingested_at=loaded_at
     )
-    judged = cleaned.withColumns(
-        {"_batch": F.lit(batch), "_accepted": ~type_violation(cleaned.columns, USAGE_TYPES)}
-    )
+    judged = cleaned.withColumns({"_batch": F.lit(batch), "_accepted": ~usage_violation(cleaned.columns)})
     name = table_spec("traffic", "bronze").full_name(tenant)
-    tables.overwrite_partitions(judged, name)
+    # The reason travels in the column that sources use for it.
+    judged = judged.withColumn(
+        "error_message",
+        F.when(F.col("_accepted"), F.col("error_message") if "error_message" in judged.columns else F.lit(None)).otherwise(
+            usage_reasons(cleaned.columns)
+        ),
+    )
+    tables.replace_batch(judged, name, batch)
     rejected = raw.sparkSession.table(name).filter((F.col("_batch") == batch) & ~F.col("_accepted"))
     tables.quarantine_parquet(rejected.drop("_batch", "_accepted"), f"{quarantine}/_batch={batch}")
 
 
 def update_dimensions(spark: SparkSession, tenant: str, batch_rows: DataFrame, loaded_at: str) -> None:
-    """Insert the members the batch brings and the tables lack."""
+    """Insert the members the batch brings and the tables lack, and fill attributes they lack."""
     members = staged(dims.all_members(batch_rows, BOUNDED), "members", partition_by="dimension")
     for dim in BOUNDED:
         _insert_new(spark, tenant, dim.table, dims.from_members(_members_of(members, dim.table), dim), loaded_at)
@@ -140,47 +164,64 @@ def update_dimensions(spark: SparkSession, tenant: str, batch_rows: DataFrame, l
 
 
 def _insert_new(spark: SparkSession, tenant: str, table: str, candidates: DataFrame, loaded_at: str) -> None:
+    """Append new members. Only if the batch fills an attribute that a stored member lacks is the table written anew."""
     spec = DIMENSION_TABLES[table]
-    name = spec.full_name(tenant)
-    fresh = dims.new_members(candidates, spark.table(name), spec.grain[0])
-    tables.append_table(stamp(fresh, loaded_at), name)
-
-
-def update_fact(spark: SparkSession, tenant: str, batch_rows: DataFrame, batch: str, loaded_at: str) -> None:
-    increment_name = table_spec("traffic_increment", "silver").full_name(tenant)
+    name, key = spec.full_name(tenant), spec.grain[0]
+    stored = spark.table(name)
+    candidates = staged(candidates, table)
+    fresh = stamp(dims.new_members(candidates, stored, key), loaded_at)
+    filled = dims.filled_members(candidates, stored, key, [c for c in candidates.columns if c != key])
+    if filled.isEmpty():
+        tables.append_table(fresh, name)
+        return
+    rest = stored.join(filled.select(key), key, "left_anti")
+    whole = rest.unionByName(filled).unionByName(fresh.select(*stored.columns))
+    tables.overwrite_partitions(staged(whole, table), name)
+
+
+def write_increment(spark: SparkSession, tenant: str, batch_rows: DataFrame, batch: str) -> tuple[list[str], list[str]]:
+    """Write the batch's partial sums. Returns all days to rebuild and, of those, the ones only an earlier run had.
+
+    Days are partition values: no more than the calendar has.
+    """
+    name = table_spec("traffic_increment", "silver").full_name(tenant)
+    before = {p["call_day"] for p in tables.partitions_of(spark, name, _batch=batch)}
     partial = facts.combine_usage(facts.usage_lines(batch_rows)).withColumns(
         {"call_day": _call_day(F.col("call_date")), "_batch": F.lit(batch)}
     )
-    tables.overwrite_partitions(partial, increment_name)
-    increments = spark.table(increment_name)
-    touched = _touched_days(increments, batch)
-    days = increments.join(F.broadcast(touched), "call_day", "left_semi")
-    combined = facts.combine_usage(days, "call_day")
-    fact = facts.key_usage(combined, "call_day")
-    tables.overwrite_partitions(stamp(fact, loaded_at), table_spec("traffic", "silver").full_name(tenant))
+    partial = staged(partial, "increment")
+    now = {r["call_day"] for r in partial.select("call_day").distinct().collect()}
+    tables.overwrite_partitions(partial, name)
+    return sorted(before | now), sorted(before - now)
 
 
-def _touched_days(increments: DataFrame, batch: str) -> DataFrame:
-    """Days of one batch: at most one row per calendar day, read from partition values."""
-    return increments.filter(F.col("_batch") == batch).select("call_day").distinct()
+def update_fact(spark: SparkSession, tenant: str, batch: str, days: list[str], stale: list[str], loaded_at: str) -> None:
+    """Rebuild the fact's days from the partial sums of all batches, without what the batch no longer has."""
+    increments = spark.table(table_spec("traffic_increment", "silver").full_name(tenant))
+    outdated = (F.col("_batch") == batch) & F.col("call_day").isin(stale)
+    combined = facts.combine_usage(increments.filter(F.col("call_day").isin(days) & ~outdated), "call_day")
+    fact = stamp(facts.key_usage(combined, "call_day"), loaded_at)
+    tables.replace_values(fact, table_spec("traffic", "silver").full_name(tenant), "call_day", days)
 
 
 def stored_dimensions(spark: SparkSession, tenant: str) -> Mapping[str, DataFrame]:
     return {d: spark.table(DIMENSION_TABLES[d].full_name(tenant)) for d in USAGE_DIMENSIONS}
 
 
-def update_gold(spark: SparkSession, tenant: str, batch: str, loaded_at: str) -> None:
-    increments = spark.table(table_spec("traffic_increment", "silver").full_name(tenant))
-    touched = F.broadcast(_touched_days(increments, batch))
-    fact = spark.table(table_spec("traffic", "silver").full_name(tenant)).join(touched, "call_day", "left_semi")
+def update_gold(spark: SparkSession, tenant: str, days: list[str], loaded_at: str) -> None:
+    """Rebuild the daily rows of the days, and the monthly rows of their months."""
+    fact = spark.table(table_spec("traffic", "silver").full_name(tenant)).filter(F.col("call_day").isin(days))
     daily_name = table_spec("traffic", "gold").full_name(tenant)
-    daily = marts.usage_daily(fact, stored_dimensions(spark, tenant), "call_day")
-    tables.overwrite_partitions(stamp(daily, loaded_at), daily_name)
-
-    stored = spark.table(daily_name)
-    # A date has one month, so there are no more months than touched dates.
-    months = stored.join(touched, "call_day", "left_semi").select(F.col("call_month").alias("touched_month")).distinct()
-    whole_months = stored.join(F.broadcast(months), F.col("call_month").eqNullSafe(F.col("touched_month")), "left_semi")
-    monthly = marts.usage_monthly(whole_months)
-    tables.overwrite_partitions(stamp(monthly, loaded_at), table_spec("traffic_monthly", "gold").full_name(tenant))
-
+    # Months the days were in and are in now; a date has one month, so there are no more than dates.
+    held = tables.partitions_of(spark, daily_name)
+    months = {p["call_month"] for p in held if p["call_day"] in set(days)}
+    daily = staged(stamp(marts.usage_daily(fact, stored_dimensions(spark, tenant), "call_day"), loaded_at), "daily")
+    now = {(r["call_month"], r["call_day"]) for r in daily.select("call_month", "call_day").distinct().collect()}
+    tables.overwrite_partitions(daily, daily_name)
+    left = [p for p in held if p["call_day"] in set(days) and (p["call_month"], p["call_day"]) not in now]
+    tables.drop_partitions(spark, daily_name, left)
+
+    months = sorted(months | {m for m, _ in now}, key=lambda m: (m is None, m or ""))
+    whole = spark.table(daily_name).filter(tables.among("call_month", months))
+    monthly = stamp(marts.usage_monthly(whole), loaded_at)
+    tables.replace_values(monthly, table_spec("traffic_monthly", "gold").full_name(tenant), "call_month", months)

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder of its own; a cluster must name one, because
-    files written to a machine-local folder are lost with that machine.
+    A session in one process without the setting gets a temporary folder of its own; a cluster, also one on a single
+    machine, must name one, because files written to a machine-local folder are lost with that machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local["):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tierline-"))
         return spark.sparkContext.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

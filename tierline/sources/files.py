@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierline.operators.shape import normalized_names
+from tierline.operators.shape import coalesce_aliases, normalized_names, remap_columns
 
 # Candidate delimiters in tie-break order, accepted extensions, folders already dealt with.
 DELIMITERS = ("~", ",", ";", "|", "\t")
@@ -24,6 +24,9 @@ DONE_FOLDERS = ("processed", "failed", "invalid", "original")
 OTHER_DOMAINS = ("settlement", "agreement", "rating", "activation", "traffic", "forecast")
 
 SOURCE_PATH = "_source_path"
+# The columns of a row's own file, as ``|a|b|``; and the text of a delimited row that its header does not fit.
+SOURCE_COLUMNS, SOURCE_TEXT = "_source_columns", "_source_text"
+SOURCE = (SOURCE_PATH, SOURCE_COLUMNS, SOURCE_TEXT)
 
 
 def tenant_of(path: Column) -> Column:
@@ -102,51 +105,70 @@ def read_delimited(
     paths: Sequence[str],
     *,
     renames: Mapping[str, str] | None = None,
+    aliases: Mapping[str, Sequence[str]] | None = None,
     multi_line: bool = False,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """Delimited files as text columns named by their normalised headers, plus :data:`SOURCE_PATH`.
+    """Delimited files as text columns named by their normalised headers, plus the columns of :data:`SOURCE`.
 
     Files sharing delimiter and header are read together, so a drop of any size is a handful of scans.
-    ``renames`` maps exact source headers. Values stay text: inference would lose leading zeros.
+    ``renames`` maps exact source headers. ``aliases`` gives every layout its target names before layouts are united, so
+    what a file's columns become does not depend on the files beside it. Values stay text: inference would lose leading
+    zeros. A row with more or fewer cells than its header keeps its text in :data:`SOURCE_TEXT`, else NULL.
     """
     by_layout = defaultdict(list)
     for row in detect_layouts(spark, paths).toLocalIterator():
         by_layout[row["delimiter"], row["header"]].append(row["path"])
     frames = [
-        _read_layout(spark, files, header, delimiter, renames or {}, multi_line, mode)
+        _read_layout(spark, files, header, delimiter, renames or {}, aliases, multi_line, mode)
         for (delimiter, header), files in sorted(by_layout.items())
     ]
     return _union(spark, frames)
 
 
-def _read_layout(spark, files, header, delimiter, renames, multi_line, mode) -> DataFrame:
+def _read_layout(spark, files, header, delimiter, renames, aliases, multi_line, mode) -> DataFrame:
     titles = next(csv.reader([header], delimiter=delimiter))
     names = normalized_names([renames.get(t, t) for t in titles])
-    schema = StructType([StructField(n, StringType()) for n in names])
+    schema = StructType([StructField(n, StringType()) for n in [*names, SOURCE_TEXT]])
     reader = spark.read.schema(schema).options(
-        header=True, sep=delimiter, quote='"', escape='"', multiLine=multi_line, mode=mode
+        header=True, sep=delimiter, quote='"', escape='"', multiLine=multi_line, mode=mode,
+        columnNameOfCorruptRecord=SOURCE_TEXT, columnPruning=False,
     )
-    return reader.csv(files).select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    rows = reader.csv(files).select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    return _with_layout(rows, aliases, remap_columns)
 
 
-def read_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Parquet files, columns merged by name, plus :data:`SOURCE_PATH`."""
+def _with_layout(rows: DataFrame, aliases, rename) -> DataFrame:
+    own = [c for c in rows.columns if c not in SOURCE]
+    named = rename(rows, aliases) if aliases else rows
+    offered = [c for c in named.columns if c not in SOURCE] if aliases else own
+    return named.withColumn(SOURCE_COLUMNS, F.lit("|" + "|".join(offered) + "|"))
+
+
+def read_parquet(
+    spark: SparkSession, paths: Sequence[str], aliases: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Parquet files, columns merged by name, plus the columns of :data:`SOURCE`.
+
+    A column that a file lacks is NULL in its rows, so ``aliases`` take the first that is filled, row by row.
+    """
     frame = spark.read.option("mergeSchema", True).parquet(*paths)
     names = normalized_names(frame.columns)
-    return frame.select("*", F.col("_metadata.file_path")).toDF(*names, SOURCE_PATH)
+    rows = frame.select("*", F.col("_metadata.file_path")).toDF(*names, SOURCE_PATH)
+    return _with_layout(rows.withColumn(SOURCE_TEXT, F.lit(None).cast("string")), aliases, coalesce_aliases)
 
 
 def read_files(spark: SparkSession, paths: Iterable[str], **options) -> DataFrame:
     """A mixed drop. Everything becomes text, which is what bronze stores."""
     paths = list(paths)
+    aliases = options.get("aliases")
     delimited = [p for p in paths if p.lower().endswith(".csv")]
     columnar = [p for p in paths if p.lower().endswith(".parquet")]
     frames = []
     if delimited:
         frames.append(read_delimited(spark, delimited, **options))
     if columnar:
-        frame = read_parquet(spark, columnar)
+        frame = read_parquet(spark, columnar, aliases)
         frames.append(frame.select([F.col(c).cast("string").alias(c) for c in frame.columns]))
     return _union(spark, frames)
 
@@ -159,7 +181,7 @@ def read_typed(spark: SparkSession, paths: Sequence[str], schema: StructType, de
 
 def _union(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
-        return spark.createDataFrame([], StructType([StructField(SOURCE_PATH, StringType())]))
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in SOURCE]))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)

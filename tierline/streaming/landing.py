@@ -1,38 +1,71 @@
-"""Continuous ingestion: every landed file is loaded exactly once.
+"""Continuous ingestion: every landed file is loaded exactly once, into the tables of its own tenant.
 
 The stream watches file names, not contents. Its checkpoint records which files belong to which batch, and
-the batch handler writes under the batch's own id, so a batch repeated after a failure replaces itself.
+the batch handler writes under an id of that checkpoint and batch, so a batch repeated after a failure replaces itself and
+streams with checkpoints of their own never share an id. A file that cannot be read is set aside with its reason; the
+others of its batch are loaded.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.sources.files import landing_filter, read_files
+from tierline.sources.files import landing_filter, read_files, tenant_of
 
 # Fixed value: the columns of Spark's binary file source.
 FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
+#: Characters of the reason that is kept for a file that failed.
+REASON_LENGTH = 500
 
-Handler = Callable[[DataFrame, str, str], None]
+#: (tenant, rows, batch id, load time); rows have the columns of ``sources.files.SOURCE``.
+Handler = Callable[[str, DataFrame, str, str], None]
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def landing_glob(root: str, domain: str, layer: str) -> str:
+    """Folders of one domain and layer, of any tenant and in any spelling of case."""
+    return f"{root.rstrip('/')}/{_any_case('tenant')}/*/{_any_case(layer)}/{_any_case(domain)}"
 
 
 def landed_files(
     spark: SparkSession, root: str, domain: str, layer: str, *, files_per_batch: int = 1000, archive: str | None = None
 ) -> DataFrame:
-    """Stream of new files (path, modificationTime) anywhere under ``root``.
+    """Stream of new files (path, modificationTime, tenant) of one domain and layer under ``root``.
 
     With ``archive`` set, Spark moves files there some time after their batch has finished. That is
-    housekeeping only: what was loaded is decided by the checkpoint.
+    housekeeping only: what was loaded is decided by the checkpoint. The source's own path names the domain, so files of
+    other domains are neither listed nor moved.
     """
     reader = spark.readStream.format("binaryFile").schema(FILE_DDL).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.option("recursiveFileLookup", True).load(root).select("path", "modificationTime")
-    return files.filter(landing_filter(F.col("path"), domain, layer))
+    files = reader.option("recursiveFileLookup", True).load(landing_glob(root, domain, layer))
+    chosen = files.filter(landing_filter(F.col("path"), domain, layer))
+    return chosen.select("path", "modificationTime", tenant_of(F.col("path")).alias("tenant"))
+
+
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """Id of a stream's batch: no other checkpoint has it."""
+    return f"{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{batch_id}"
+
+
+def unreadable(spark: SparkSession, paths: list[str], **read_options) -> dict[str, str]:
+    """Files that cannot be read, with the reason; found by reading each on its own, which only a failed batch does."""
+    found = {}
+    for path in paths:
+        try:
+            read_files(spark, [path], **read_options).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # noqa: BLE001  whatever a reader raises is the reason
+            found[path] = str(error)[:REASON_LENGTH]
+    return found
 
 
 def ingest_stream(
@@ -43,24 +76,42 @@ def ingest_stream(
     checkpoint: str,
     handler: Handler,
     *,
+    failed: str | None = None,
     files_per_batch: int = 1000,
     archive: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Load all files landed so far, then stop; the next run continues after them.
 
-    ``handler(raw, batch, loaded_at)`` gets the rows of the batch's files as text with their file path. The
-    load time is that of the newest file, so a repeated batch produces the same rows.
+    ``handler(tenant, raw, batch, loaded_at)`` gets the rows of one tenant's files of the batch, as text with their file
+    path. The load time is that of the newest file, so a repeated batch produces the same rows. If a tenant's load fails
+    and some of its files cannot be read, these are listed under ``failed`` (path, tenant, batch, reason) and the load is
+    run again without them; any other failure ends the stream, and the next run repeats the batch.
     """
 
+    def load_tenant(tenant: str, paths: list[str], batch: str, loaded_at: str) -> None:
+        try:
+            handler(tenant, read_files(spark, paths, **read_options), batch, loaded_at)
+            return
+        except Exception:
+            bad = unreadable(spark, paths, **read_options) if failed else {}
+            if not bad:
+                raise
+        rows = [(path, tenant, batch, reason) for path, reason in sorted(bad.items())]
+        listed = spark.createDataFrame(rows, "path string, tenant string, batch string, reason string")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{failed}/_tenant={tenant}/_batch={batch}")
+        good = [p for p in paths if p not in bad]
+        if good:
+            handler(tenant, read_files(spark, good, **read_options), batch, loaded_at)
+
     def load(batch_files: DataFrame, batch_id: int) -> None:
         # At most files_per_batch short rows.
         files = batch_files.toPandas()
         if files.empty:
             return
         loaded_at = files["modificationTime"].max().strftime("%Y-%m-%d %H:%M:%S")
-        raw = read_files(spark, sorted(files["path"]), **read_options)
-        handler(raw, str(batch_id), loaded_at)
+        for tenant, own in files.groupby("tenant"):
+            load_tenant(tenant, sorted(own["path"]), batch_name(checkpoint, batch_id), loaded_at)
 
     files = landed_files(spark, root, domain, layer, files_per_batch=files_per_batch, archive=archive)
     return (
