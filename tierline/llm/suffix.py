@@ -248,6 +248,8 @@ def repeated_windows(texts: list[bytes], doc: np.ndarray, first: np.ndarray, siz
     """(read, window, windows) for runs of windows that have an equal one earlier: by ``doc`` rank, then by start."""
     _, lcp, owner = collection_transform(texts)
     joined = lcp >= size
+    if not joined.any():
+        return
     member = joined | np.append(joined[1:], False)
     group = np.cumsum(~joined)[member]
     read, length = owner[member] >> 10, owner[member] & 1023
@@ -256,8 +258,6 @@ def repeated_windows(texts: list[bytes], doc: np.ndarray, first: np.ndarray, siz
     later = np.concatenate([[False], group[order][1:] == group[order][:-1]])
     read, window = read[order][later], window[order][later]
     code = np.sort(read * 1024 + window)
-    if not len(code):
-        return
     runs = np.flatnonzero(np.concatenate([[True], np.diff(code) != 1]))
     for a, b in zip(runs, np.append(runs[1:], len(code)), strict=True):
         yield int(code[a] >> 10), int(code[a] & 1023), int(b - a)
