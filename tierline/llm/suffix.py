@@ -54,11 +54,11 @@ def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - length)], h[width - length :]) if width > length else h
 
 
-def reads(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first window, number of windows and occurrences of the key for every read of a text."""
+def reads(data: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Key, first window, number of windows, occurrences of the key, and where the first of these begins in the read."""
     if len(data) < size:
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none
     seed_bytes = _seed_bytes(size)
     h = _rolling(data, seed_bytes)
     keys = _sliding_least(h, size - seed_bytes + 1)
@@ -71,14 +71,15 @@ def reads(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         first = np.repeat(first, parts) + inner * READ_WINDOWS
         count = np.diff(np.concatenate([first, [len(keys)]]))
     key = keys[first]
-    # Occurrences of the key inside the read: more than one may hide a repeat within it.
-    at = np.arange(len(h))
-    own = np.searchsorted(first, np.minimum(at, len(keys) - 1), side="right") - 1
-    last = np.searchsorted(first, np.maximum(at - (size - seed_bytes), 0), side="right") - 1
-    hits = np.zeros(len(first) + 1, np.int64)
-    for r in (own, last):
-        np.add.at(hits, r[h == key[r]], 1)
-    return key, first, count, np.maximum(hits[:-1], 1)
+    # Places of all keys' substrings, by key and place; a read's own are those of its key within its bytes.
+    known, rank = np.unique(key, return_inverse=True)
+    near = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    at = np.flatnonzero(known[near] == h)
+    span = len(data) + 1
+    places = np.sort(near[at] * span + at)
+    low = np.searchsorted(places, rank * span + first)
+    high = np.searchsorted(places, rank * span + first + count - 1 + size - seed_bytes, side="right")
+    return key, first, count, high - low, places[low] - rank * span - first
 
 
 def _seed_bytes(size: int) -> int:
@@ -97,23 +98,24 @@ def _bytes(text: str | None) -> bytes:
 
 
 def _listed(rows: DataFrame, size: int) -> DataFrame:
-    """(key, row_hash, span, hits) for every read; span is its first window, times 256, plus its windows."""
+    """(key, row_hash, span) for every read; span holds its first window and, a byte each from the low end, its windows,
+    the occurrences of its key (255 for more), and the place of the first of these."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], []]
             for r, text in enumerate(batch.column("text").to_pylist()):
-                key, first, count, hits = reads(np.frombuffer(_bytes(text), np.uint8), size)
-                for column, x in zip(out, (key.view(np.int64), first * 256 + count, hits, np.full(len(key), r)), strict=True):
+                key, first, count, hits, place = reads(np.frombuffer(_bytes(text), np.uint8), size)
+                span = first << 24 | np.minimum(place, 255) << 16 | np.minimum(hits, 255) << 8 | count
+                for column, x in zip(out, (key.view(np.int64), span, np.full(len(key), r)), strict=True):
                     column.append(x)
-            key, span, hits, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            key, span, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
             hashes = batch.column("row_hash").take(pa.array(at.astype(np.int32)))
-            arrays = [pa.array(key), hashes, pa.array(span), pa.array(hits)]
-            return pa.RecordBatch.from_arrays(arrays, ["key", "row_hash", "span", "hits"])
+            return pa.RecordBatch.from_arrays([pa.array(key), hashes, pa.array(span)], ["key", "row_hash", "span"])
 
         return work
 
-    return map_rows(rows.select("row_hash", "text"), make, "key long, row_hash long, span long, hits long")
+    return map_rows(rows.select("row_hash", "text"), make, "key long, row_hash long, span long")
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -139,11 +141,13 @@ def _cut(members: DataFrame, size: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            key, first, at, cut = [], [], [], []
+            key, first, at, cut, seed = [], [], [], [], []
             for r, (packed, listed) in enumerate(zip(batch.column("packed").to_pylist(), batch.column("listed").to_pylist(), strict=True)):
                 data = unpack.decompress(packed)
                 for x in listed:
-                    start, count = x["span"] >> 8, x["span"] & 255
+                    start, count = x["span"] >> 24, x["span"] & 255
+                    # Where the key's substring stands, or -1 if it stands more than once.
+                    seed.append(x["span"] >> 16 & 255 if x["span"] >> 8 & 255 == 1 else -1)
                     key.append(x["key"])
                     first.append(start)
                     at.append(r)
@@ -151,12 +155,40 @@ def _cut(members: DataFrame, size: int) -> DataFrame:
             take = pa.array(at, pa.int32())
             arrays = [pa.array(key, pa.int64()), batch.column("row_hash").take(take), batch.column("doc_id").take(take)]
             return pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(first, pa.int64()), pa.array(cut, pa.binary())], ["key", "row_hash", "doc_id", "first", "read"]
+                [*arrays, pa.array(first, pa.int64()), pa.array(cut, pa.binary()), pa.array(seed, pa.int32())],
+                ["key", "row_hash", "doc_id", "first", "read", "seed"],
             )
 
         return work
 
-    return map_rows(members, make, "key long, row_hash long, doc_id long, first long, read binary")
+    return map_rows(members, make, "key long, row_hash long, doc_id long, first long, read binary, seed int")
+
+
+def _worth_searching(group: dict[bytes, tuple], size: int) -> list[bytes]:
+    """Reads of one key that may hold a window of another, or one twice.
+
+    Reads whose key stands once can only meet with these places laid together. A common window then reaches beyond the
+    key's substring by half of what is missing on one side at least; reads that agree with no other there are done.
+    """
+    if any(p[4] < 0 for p in group.values()):
+        return list(group)
+    if len(group) < 2:
+        return []
+    seed_bytes = _seed_bytes(size)
+    half = -(-(size - seed_bytes) // 2)
+    sides: dict[tuple[bool, bytes], int] = {}
+    keys = []
+    for read, place in group.items():
+        at = place[4]
+        own = []
+        if at >= half:
+            own.append((True, read[at - half : at]))
+        if len(read) >= at + seed_bytes + half:
+            own.append((False, read[at + seed_bytes : at + seed_bytes + half]))
+        for side in own:
+            sides[side] = sides.get(side, 0) + 1
+        keys.append(own)
+    return [read for read, own in zip(group, keys, strict=True) if any(sides[s] > 1 for s in own)]
 
 
 class _Columns:
@@ -272,8 +304,14 @@ def _searched(cut: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[bytes, tuple] = {}  # read -> earliest place of it
+        group: dict[bytes, tuple] = {}  # the same for the key at hand
         found: list[tuple[int, int, int]] = []
 
+        def close() -> None:
+            for read in _worth_searching(group, size):
+                own[read] = group[read]
+            group.clear()
+
         def search() -> None:
             texts, places = list(own), list(own.values())
             rank = {p: k for k, p in enumerate(sorted({x[:3] for x in places}))}
@@ -290,20 +328,23 @@ def _searched(cut: DataFrame, size: int) -> DataFrame:
 
         last = None
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("key", "row_hash", "doc_id", "first", "read"))
-            for key, row, doc, first, read in zip(*columns, strict=True):
-                if key != last and len(own) >= COLLECTION:
-                    search()
+            columns = (batch.column(c).to_pylist() for c in ("key", "row_hash", "doc_id", "first", "seed", "read"))
+            for key, row, doc, first, seed, read in zip(*columns, strict=True):
+                if key != last:
+                    close()
+                    if len(own) >= COLLECTION:
+                        search()
                 last = key
-                place = (doc is None, doc or 0, row, first)
-                before = own.get(read)
+                place = (doc is None, doc or 0, row, first, seed)
+                before = group.get(read)
                 if before is None:
-                    own[read] = place
+                    group[read] = place
                 else:
-                    own[read] = min(place, before)
+                    group[read] = min(place, before)
                     late = max(place, before)
                     found.append((late[2], late[3], len(read) - size + 1))
             yield out()
+        close()
         if own:
             search()
         yield out()
@@ -356,7 +397,8 @@ def repeats(docs: DataFrame, size: int = SIZE, tables: Tables | None = None, cro
     single = rows.join(copies.select("row_hash"), "row_hash", "left_anti")
     listed = _listed(single, size).repartition("key")
     # The reads of a key in two places or more; one exchange serves the count and the look-up.
-    counted = listed.groupBy("key").agg(F.sum("hits").alias("hits"), F.count("*").alias("reads")).filter("hits > 1")
+    hits = F.shiftright("span", 8).bitwiseAND(255)
+    counted = listed.groupBy("key").agg(F.sum(hits).alias("hits"), F.count("*").alias("reads")).filter("hits > 1")
     wanted = tables.write(
         listed.join(counted, "key").groupBy("row_hash").agg(F.collect_list(F.struct("key", "span", "reads")).alias("listed")), "wanted"
     )
