@@ -110,4 +110,48 @@ QUERIES: dict[str, Query] = {
         op9_quality, op10_line_dedup,
     )
 }
-SQL: dict[str, str] = {}
+_TURNS = "ORDER BY turn NULLS FIRST, r, x"
+_QUOTED = r"'\### Assistant: </turn> ok'"
+_CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {_QUOTED} UNION ALL SELECT -7, 1, 'assistant', {_QUOTED}
+), placed AS (
+  SELECT *, coalesce(r = lag(r) OVER (PARTITION BY conv_id {_TURNS}), false) AS goes_on,
+    length(replace(replace(replace(x, '\', '\b'), '#', '\h'), '<', '\l')) AS text_chars,
+    length(replace(replace(replace(replace(r, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c')) AS role_chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' {_TURNS})) AS turns_sha256,
+  coalesce(sum(length(x)) FILTER (WHERE r = 'assistant'), 0)::bigint AS loss_chars,
+  sha256(coalesce(string_agg(x, '' {_TURNS}) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+  -- '### ' role ': ' text '</turn>' line feed, or '<next>' text for a turn that goes on in the block before it
+  sum(text_chars + CASE WHEN goes_on THEN 6 ELSE 4 + role_chars + 2 + 8 END)::bigint AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+_BLANKS = r"[\x20\x09-\x0D]"
+_SENTENCES = rf"""
+WITH cut AS (
+  SELECT doc_id, list_filter(
+    list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?]){_BLANKS}+', '\1' || chr(10), 'g'), chr(10)),
+      lambda x: regexp_replace(x, '^{_BLANKS}+|{_BLANKS}+$', '', 'g')), lambda x: x <> '') AS s FROM documents
+), sentences AS (
+  SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM cut
+), counted AS (
+  SELECT doc_id, s, i, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS n FROM sentences
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS until FROM counted
+), runs AS (
+  SELECT b.doc_id, b.i, greatest(e.i, b.i + 1) AS j, array_to_string(b.s[b.i:greatest(e.i, b.i + 1)], chr(10)) AS run
+  FROM (SELECT *, until - n + 12 AS needed FROM summed) b
+  ASOF JOIN summed e ON b.doc_id = e.doc_id AND b.needed <= e.until WHERE b.i + 1 <= len(b.s)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS occurrence FROM runs
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS k FROM ranked WHERE occurrence > 1
+), islands AS (
+  SELECT doc_id, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS island FROM gone
+)
+SELECT doc_id, (min(k) - 1)::int AS first_sentence, count(*) AS n_sentences FROM islands GROUP BY doc_id, island
+"""
+SQL: dict[str, str] = {"op4_chat": _CHAT, "op6_sentences": _SENTENCES}
