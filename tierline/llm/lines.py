@@ -8,6 +8,8 @@ bit-parallel edit distance verifies them there.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -97,7 +99,7 @@ def _short(lid: bytes) -> int:
     return int.from_bytes(lid[:8], "little") >> 1
 
 
-def _longs(values: list[int]) -> pa.Array:
+def _longs(values: array | list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
@@ -136,7 +138,7 @@ def _index(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             lines = {line for text in batch.column("text").to_pylist() for line in _cut(text) if len(line) >= min_chars}
-            keys, entries = [], []
+            keys, entries = array("Q"), array("Q")
             for line in lines:
                 short = _short(_digest(line)) << 1
                 for key, own in probes(line, edits):
@@ -174,12 +176,13 @@ def _bags(lines: list[str]) -> np.ndarray:
     return out
 
 
-def _forest(lids: list[bytes], lines: list[str], edits: int) -> list[tuple[bytes, bytes]]:
-    """Verified links that connect whatever is linked within a group: every line leaves the search once it is reached."""
+def _stars(lids: list[bytes], lines: list[str], edits: int) -> list[tuple[bytes, bytes]]:
+    """Edges from the least of what is linked within a group to the rest of it. A line leaves the search once it is
+    reached; pairs whose characters differ too much in number are not compared."""
     bags = _bags(lines)
     found, rest = [], np.arange(len(lines))
-    while rest.size > 1:
-        front, rest = [rest[0]], rest[1:]
+    while rest.size:
+        group, front, rest = [rest[0]], [rest[0]], rest[1:]
         while front and rest.size:
             x = front.pop()
             alike = np.abs(bags[rest] - bags[x]).sum(axis=1) <= 2 * edits
@@ -187,11 +190,13 @@ def _forest(lids: list[bytes], lines: list[str], edits: int) -> list[tuple[bytes
                 continue
             hit = np.array([within(lines[x], lines[y], edits) for y in rest[alike]])
             reached = rest[alike][hit]
-            found += [(lids[x], lids[y]) for y in reached]
+            group += list(reached)
             front += list(reached)
             keep = np.ones(rest.size, bool)
             keep[np.flatnonzero(alike)[hit]] = False
             rest = rest[keep]
+        least = min(lids[x] for x in group)
+        found += [(least, lids[x]) for x in group if lids[x] != least]
     return found
 
 
@@ -232,7 +237,7 @@ def near_links(docs: DataFrame, edits: int, min_chars: int, tables: Tables, bloc
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             links: set[tuple[bytes, bytes]] = set()
             for group in batch.column("lines").to_pylist():
-                links.update(_forest([x["lid"] for x in group], [x["line"] for x in group], edits))
+                links.update(_stars([x["lid"] for x in group], [x["line"] for x in group], edits))
             pairs = list(links)
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"]
