@@ -46,6 +46,15 @@ def test_links_equal_all_pairs_also_where_keys_are_crowded(spark):
                 assert same == (expected[a] == expected[b])
 
 
+def test_every_layout_finds_every_link():
+    rng = random.Random(4)
+    for extra in (0, 1, 2, 4):
+        parts = simhash._parts(4, extra)
+        for _ in range(500):
+            flips = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4)))
+            assert min((flips & m).bit_count() for m in parts) <= 1
+
+
 def test_awkward_rows(spark, awkward):
     found = simhash.classes(awkward).collect()
     assert len(found) == awkward.count()

@@ -3,10 +3,16 @@
 Two 64-bit fingerprints within 4 bits, cut into three segments, agree in one segment up to one bit: three segments
 with two differing bits each would make six. A segment therefore enters the index once per bit position, with that
 bit wiped out; linked fingerprints meet under an equal (position, wiped segment) and are verified there.
+
+Segments of 21 bits tell a few million fingerprints apart. For more, the fingerprint is cut finer and several segments
+together make an index part: of five segments two agree up to one bit, of six three, and so on. Every layout finds all
+links; the one chosen keeps chance meetings rare.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,6 +26,8 @@ BITS = 64
 SEED = 42
 #: Fingerprints under one index key that a task compares directly. Keys with more go to the midpoint index.
 DIRECT = 4096
+#: Fingerprints that meet by chance under an index key, about, before the layout gets finer.
+MEETINGS = 8
 _STEP = 1 << 16
 
 
@@ -58,39 +66,54 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_rows(rows, make, "doc_id long, row_hash long, fp long")
 
 
-def _segments(distance: int) -> list[tuple[int, int]]:
-    """The fewest segments of which one must differ by at most one bit."""
-    n = distance // 2 + 1
+def _parts(distance: int, extra: int) -> list[int]:
+    """Bit masks of which one holds at most one differing bit.
+
+    ``extra`` 0: the fewest segments. Else distance + ``extra`` segments, in unions of ``extra`` + 1: the differing bits leave
+    at least ``extra`` segments untouched if each of the others has one, and more if one has several.
+    """
+    n, m = (distance // 2 + 1, 1) if not extra else (distance + extra, extra + 1)
     cuts = [BITS * k // n for k in range(n + 1)]
-    return list(zip(cuts, cuts[1:], strict=False))
+    segments = [(1 << hi) - (1 << lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    return [sum(union) for union in combinations(segments, m)]
+
+
+def _layout(distance: int, fingerprints: int) -> list[int]:
+    """The parts with the fewest index entries under which chance meetings stay below ``MEETINGS`` a key."""
+    extra = 0
+    while extra < 8 and fingerprints > MEETINGS << (min(m.bit_count() for m in _parts(distance, extra)) - 1):
+        extra += 1
+    return _parts(distance, extra)
 
 
 def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def _variant_keys(distinct: DataFrame, distance: int) -> DataFrame:
-    """(pos, part, fp): one index entry for each bit position, holding its segment without that bit."""
-    masks = [_signed(((1 << hi) - (1 << lo)) & ~(1 << i)) for lo, hi in _segments(distance) for i in range(lo, hi)]
+def _variant_keys(distinct: DataFrame, parts: list[int]) -> DataFrame:
+    """(pos, part, fp): one index entry for each part and bit of it, holding the part without that bit."""
+    masks = [_signed(m & ~(1 << i)) for m in parts for i in range(BITS) if m >> i & 1]
     array = F.array(*[F.lit(m).cast("long") for m in masks])
     return distinct.select("fp", F.posexplode(array).alias("pos", "mask")).select(
         F.col("pos").cast("short").alias("pos"), F.col("fp").bitwiseAND(F.col("mask")).alias("part"), "fp"
     )
 
 
-def _forest(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Edges that connect what is connected among the members, each edge a verified link."""
+def _stars(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Edges from the least of what is connected among the members to the rest of it, found over verified links."""
     edges, rest = [], members
     while rest.size:
-        front, rest = [rest[0]], rest[1:]
+        group, front, rest = [rest[:1]], [rest[0]], rest[1:]
         while front and rest.size:
-            x = front.pop()
-            near = np.bitwise_count(rest ^ x) <= distance
+            near = np.bitwise_count(rest ^ front.pop()) <= distance
             if near.any():
                 hit = rest[near]
-                edges += [(x, y) for y in hit]
+                group.append(hit)
                 front += list(hit)
                 rest = rest[~near]
+        if len(group) > 1:
+            reached = np.concatenate(group)
+            edges += [(reached.min(), x) for x in reached if x != reached.min()]
     return edges
 
 
@@ -107,7 +130,7 @@ def _verified(groups: DataFrame, distance: int) -> DataFrame:
             left, right = [a[near]], [b[near]]
             more = stops - starts > 2
             for i, j in zip(starts[more], stops[more], strict=True):
-                if edges := _forest(values[i:j], distance):
+                if edges := _stars(values[i:j], distance):
                     pairs = np.array(edges, np.uint64)
                     left.append(pairs[:, 0])
                     right.append(pairs[:, 1])
@@ -143,17 +166,17 @@ def links(distinct: DataFrame, distance: int, tables: Tables, direct: int = DIRE
     """Edges (a, b) between distinct fingerprints within ``distance`` bits that connect all linked fingerprints."""
     if distance < 0 or distance % 2:
         raise ValueError("distance must be even: two fingerprints at an odd bound need not share a middle value")
-    keys = _variant_keys(distinct, distance)
-    shared = tables.write(keys.groupBy("pos", "part").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
-    groups = (
-        keys.join(shared.filter(F.col("n") <= direct).drop("n"), ["pos", "part"])
-        .groupBy("pos", "part")
-        .agg(F.collect_list("fp").alias("fps"))
-    )
-    edges = _verified(groups, distance)
-    hot = shared.filter(F.col("n") > direct)
+    keys = _variant_keys(distinct, _layout(distance, distinct.count()))
+    met = keys.groupBy("pos", "part").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    # A key of two is a pair already, and most of those that meet by chance end here.
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    shared = tables.write(met.filter((F.col("n") > 2) | ((F.col("n") == 2) & near)), "keys")
+    several = shared.filter((F.col("n") > 2) & (F.col("n") <= direct)).select("pos", "part")
+    groups = keys.join(several, ["pos", "part"]).groupBy("pos", "part").agg(F.collect_list("fp").alias("fps"))
+    edges = shared.filter("n = 2").select("a", "b").union(_verified(groups, distance))
+    hot = shared.filter((F.col("n") > direct) & (F.col("n") > 2))
     if not hot.isEmpty():
-        crowded = tables.write(keys.join(hot.drop("n"), ["pos", "part"]).select("fp").distinct(), "crowded")
+        crowded = tables.write(keys.join(hot.select("pos", "part"), ["pos", "part"]).select("fp").distinct(), "crowded")
         edges = edges.union(_midpoint_edges(crowded, distance))
     return edges
 
