@@ -45,14 +45,18 @@ class Tables:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows that a worker handles at once; batches come with many more, and with what is made from them fill its memory.
+ROWS = 2048
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with one function per task, made by ``make`` on the worker."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for start in range(0, batch.num_rows, ROWS):
+                yield work(batch.slice(start, ROWS))
 
     return df.mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ RANKED = 200_000
 
 
 #: Words and word parts whose ids a worker remembers, at most each; beyond that it forgets all and starts again.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 # Texts of these characters alone are cut and lower-cased here as the tokenizer does it; all others it encodes itself.
 _OTHER = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|(?:startoftext|endoftext)\|>")
 # Fixed value: how this vocabulary parts a word, over those characters.

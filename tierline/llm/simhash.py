@@ -26,6 +26,8 @@ BITS = 64
 SEED = 42
 #: Fingerprints under one index key that a task compares directly. Keys with more go to the midpoint index.
 DIRECT = 4096
+#: Index entries that one task makes, about.
+ENTRIES = 1_000_000
 #: Fingerprints that meet by chance under an index key, about, before the layout gets finer.
 MEETINGS = 8
 _STEP = 1 << 16
@@ -166,7 +168,11 @@ def links(distinct: DataFrame, distance: int, tables: Tables, direct: int = DIRE
     """Edges (a, b) between distinct fingerprints within ``distance`` bits that connect all linked fingerprints."""
     if distance < 0 or distance % 2:
         raise ValueError("distance must be even: two fingerprints at an odd bound need not share a middle value")
-    keys = _variant_keys(distinct, _layout(distance, distinct.count()))
+    n = distinct.count()
+    parts = _layout(distance, n)
+    # A few bytes a row become many entries: dealt out first, so that a task's table of entries stays small.
+    tasks = -(-n * sum(m.bit_count() for m in parts) // ENTRIES) or 1
+    keys = _variant_keys(distinct.repartition(tasks), parts)
     met = keys.groupBy("pos", "part").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     # A key of two is a pair already, and most of those that meet by chance end here.
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
