@@ -110,6 +110,19 @@ def test_byte_repeats_equal_brute_force(spark, documents, size):
     assert few == {r["row_hash"]: r["spans"] for r in suffix.repeats(documents(texts), size).collect()}
 
 
+def test_byte_repeats_keep_rows_equal_in_every_column(spark):
+    texts = [prose(1, 60), prose(2, 60) + prose(1, 40), "a" * 700, "short"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[0], rows[1], rows[2], rows[3]], "doc_id long, text string")
+    expected = {i: (spans, kept) for i, (_, _, spans, kept) in enumerate(brute_repeats(texts, 100))}
+    found = suffix.without_repeats(docs).collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 0, 0, 1, 1, 2, 2, 3, 3]
+    assert all((len(r["spans"] or []), bytes(r["kept"])) == expected[r["doc_id"]] for r in found)
+    once = suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for crowded in (suffix.CROWDED, 1):
+        assert sorted(suffix.repeats(docs, crowded=crowded).collect()) == sorted(once)
+
+
 def test_byte_repeats_awkward_rows(awkward):
     assert suffix.without_repeats(awkward).count() == awkward.count()
     assert suffix.without_repeats(awkward.limit(0)).count() == 0

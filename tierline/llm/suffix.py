@@ -391,10 +391,13 @@ def repeats(docs: DataFrame, size: int = SIZE, tables: Tables | None = None, cro
     ).filter(F.col("n") >= size)
     texts = tables.write(texts, "texts")
     firsts = texts.groupBy("a", "b").agg(F.min(place).alias("head"), F.count("*").alias("copies")).filter("copies > 1")
-    copies = tables.write(
-        texts.join(firsts, ["a", "b"]).filter(F.col("row_hash") != F.col("head.row_hash")).select("row_hash", "n").distinct(), "copies"
+    shared, is_head = texts.join(firsts, ["a", "b"]), F.col("row_hash") == F.col("head.row_hash")
+    copies = tables.write(shared.filter(~is_head).select("row_hash", "n").distinct(), "copies")
+    # Rows that stand several times are read once.
+    twice = tables.write(shared.filter(is_head).groupBy("row_hash").count().filter("count > 1").select("row_hash"), "twice")
+    single = rows.join(copies.select("row_hash").union(twice), "row_hash", "left_anti").union(
+        rows.join(twice, "row_hash", "left_semi").dropDuplicates(["row_hash"])
     )
-    single = rows.join(copies.select("row_hash"), "row_hash", "left_anti")
     listed = _listed(single, size).repartition("key")
     # The reads of a key in two places or more; one exchange serves the count and the look-up.
     hits = F.shiftright("span", 8).bitwiseAND(255)
@@ -402,7 +405,7 @@ def repeats(docs: DataFrame, size: int = SIZE, tables: Tables | None = None, cro
     wanted = tables.write(
         listed.join(counted, "key").groupBy("row_hash").agg(F.collect_list(F.struct("key", "span", "reads")).alias("listed")), "wanted"
     )
-    members = _packed(single).dropDuplicates(["row_hash"]).join(wanted, "row_hash")
+    members = _packed(single).join(wanted, "row_hash")
     few = F.filter("listed", lambda x: x["reads"] <= crowded)
     runs = _searched(_cut(members.withColumn("listed", few), size), size)
     if not wanted.filter(F.exists("listed", lambda x: x["reads"] > crowded)).isEmpty():
