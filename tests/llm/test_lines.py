@@ -68,6 +68,26 @@ def test_repeats_equal_all_pairs(documents, block):
     assert {(r["doc_id"], r["line_no"]) for r in found if r["exact"]} == exact
 
 
+def test_short_lines_repeat_as_well(documents):
+    rng = random.Random(5)
+    short = [" ".join(rng.choice(("le", "ab", "cab", "Les.", "én")) for _ in range(n)) for n in (1, 2, 2, 3, 3, 4, 4, 5, 6, 8)]
+    texts = ["\n".join(edited(rng, rng.choice(short), rng.choice((0, 0, 1, 2))) for _ in range(6)) for _ in range(40)]
+    texts += ["Les.\nDer eingeä erer.\n}\nEn.", "Les.\nDer, eingeä erer.\n}\nUn.", " \n\n", "abcdefg", "abcdefh", "abcdefgh", "abcdefgi"]
+    places = {}
+    for d, text in enumerate(texts):
+        for i, line in enumerate(text.split("\n")):
+            if line.strip():
+                places.setdefault(line.strip(), []).append((d, i))
+    # Nothing is too short to repeat; one edit for every eight code points, two at most.
+    classes = linked_classes(sorted(places), lambda a, b: distance(a, b) <= min(2, min(len(a), len(b)) // 8))
+    groups = {}
+    for line, at in places.items():
+        groups.setdefault(classes[line], []).extend(at)
+    found = {(r["doc_id"], r["line_no"]) for r in lines.repeated_lines(documents(texts)).collect()}
+    assert found == {p for g in groups.values() for p in g if p != min(g)}
+    assert {(41, 0), (41, 1), (41, 2)} <= found and not {(41, 3), (44, 0)} & found
+
+
 def test_removal_keeps_columns_and_first_lines(documents, awkward):
     line = "this line stands in two documents and is long enough"
     docs = documents([f"first\n{line}", f"{line}\nown words of the second", line, "", None])

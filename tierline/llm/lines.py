@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from tierline.llm.common import Tables, map_rows, row_hash
 from tierline.llm.components import components
 
-#: Edits between linked lines; shortest line compared at all, and by edits (code points).
-MAX_EDITS, MIN_CHARS, MIN_NEAR_CHARS = 2, 16, 40
+#: Edits between linked lines, at most, and code points of the shorter line for each of them.
+MAX_EDITS, CHARS_AN_EDIT = 2, 8
+#: Shortest line compared at all (every line with a word), and by edits (code points).
+MIN_CHARS, MIN_NEAR_CHARS = 1, CHARS_AN_EDIT
 #: Lines and characters that one comparison task holds. Larger groups are compared block against block.
 BLOCK_LINES, BLOCK_CHARS = 1024, 2_000_000
 _BAGS = 32
@@ -67,15 +69,22 @@ def segments(length: int, k: int) -> list[tuple[int, int]]:
     return out
 
 
-def probes(line: str, k: int) -> list[tuple[int, int]]:
+def allowed(length: int, most: int, chars_an_edit: int) -> int:
+    """Edits that a pair of lines may differ by, from the length of the shorter one."""
+    return min(most, length // chars_an_edit)
+
+
+def probes(line: str, most: int, chars_an_edit: int = 1) -> list[tuple[int, int]]:
     """Index keys of a line: (64-bit key, 1 if it is a segment of the line itself, else 0).
 
     For an indexed length and segment, edits before the segment move it by at most its number, and edits after it by at
-    most what is left; only starts that both allow are listed.
+    most what is left; only starts that both allow are listed. The edits allowed are those of the indexed length.
     """
     n, out = len(line), []
-    for length in range(max(n - k, k + 1), n + 1):
-        shift = n - length
+    for length in range(max(n - most, 1), n + 1):
+        shift, k = n - length, allowed(length, most, chars_an_edit)
+        if shift > k or length <= k:
+            continue
         for i, (start, size) in enumerate(segments(length, k)):
             low = max(start - i, start + shift - (k - i), 0)
             high = min(start + i, start + shift + (k - i), n - size)
@@ -141,7 +150,7 @@ def _index(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
             keys, entries = array("Q"), array("Q")
             for line in lines:
                 short = _short(_digest(line)) << 1
-                for key, own in probes(line, edits):
+                for key, own in probes(line, edits, CHARS_AN_EDIT):
                     keys.append(key)
                     entries.append(short | own)
             return pa.RecordBatch.from_arrays([_longs(keys), _longs(entries)], ["key", "entry"])
@@ -188,7 +197,9 @@ def _stars(lids: list[bytes], lines: list[str], edits: int) -> list[tuple[bytes,
             alike = np.abs(bags[rest] - bags[x]).sum(axis=1) <= 2 * edits
             if not alike.any():
                 continue
-            hit = np.array([within(lines[x], lines[y], edits) for y in rest[alike]])
+            hit = np.array(
+                [within(lines[x], lines[y], allowed(min(len(lines[x]), len(lines[y])), edits, CHARS_AN_EDIT)) for y in rest[alike]]
+            )
             reached = rest[alike][hit]
             group += list(reached)
             front += list(reached)
@@ -201,7 +212,7 @@ def _stars(lids: list[bytes], lines: list[str], edits: int) -> list[tuple[bytes,
 
 
 def near_links(docs: DataFrame, edits: int, min_chars: int, tables: Tables, block_lines: int, block_chars: int) -> DataFrame:
-    """Links (a, b) between different lines within ``edits`` that connect all lines so linked."""
+    """Links (a, b) between different lines within ``allowed`` edits that connect all lines so linked."""
     listed = _index(docs, edits, min_chars).repartition("key")
     line = F.shiftrightunsigned("entry", 1)
     shared = listed.groupBy("key").agg(
@@ -260,18 +271,18 @@ def repeated_lines(
     """Lines that repeat an earlier one: (row_hash, doc_id, line_no, exact, class_doc, class_line).
 
     Lines are cut at line feeds and stripped of blanks. Equal lines of at least ``min_chars`` code points are of one class,
-    and so are lines of at least ``min_near_chars`` that up to ``edits`` edits turn into each other, directly or through
-    others. The first line of a class, by doc_id (NULL last), row hash and line number, stays; all others are returned,
+    and so are lines of at least ``min_near_chars`` that a few edits turn into each other, directly or through others: one
+    for every ``CHARS_AN_EDIT`` code points of the shorter line, up to ``edits``. The first line of a class, by doc_id (NULL last), row hash and line number, stays; all others are returned,
     with the place of the first; ``exact`` tells whether an equal line came earlier.
 
-    NULL, empty and short lines repeat nothing. Rows equal in every column count as one document. Other columns of
+    NULL texts and lines without a word repeat nothing. Rows equal in every column count as one document. Other columns of
     ``docs`` only tell rows apart. No rows give no rows.
     """
     tables = tables or Tables(docs.sparkSession)
     lines = tables.write(all_lines(docs, min_chars).distinct(), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "line_no")
     per_line = lines.groupBy("lid").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    links = near_links(docs, edits, max(min_near_chars, min_chars, edits + 1), tables, block_lines, block_chars)
+    links = near_links(docs, edits, max(min_near_chars, min_chars), tables, block_lines, block_chars)
     groups = components(links, tables).withColumnRenamed("node", "lid")
     classed = tables.write(
         per_line.join(groups, "lid", "left").withColumn("component", F.coalesce("component", "lid")),
