@@ -143,6 +143,25 @@ def test_reparameterised_questions_are_found_where_slots_agree(spark, documents,
     assert decontamination.contaminated(awkward.limit(0), benchmark).count() == 0
 
 
+def test_edited_partial_and_recased_items_are_found(spark, documents):
+    text = prose(21, 39).replace(".", "")
+    words = ("The " + text).split()
+    words[25] = "The"
+    item = " ".join(words)
+    edited = " ".join([*words[:25], "One", *words[26:]])
+    texts = [
+        " ".join([*words[:20], "extra", *words[20:]]), " ".join(words[:22]), " ".join(words[18:]), item.lower(), item.upper(), edited,
+        " ".join([*words[:20], "other", *words[21:]]), " ".join(words[:15]), prose(22, 400),
+    ]
+    docs = documents([f"{prose(k + 50, 30)} {t} {prose(k + 80, 30)}" for k, t in enumerate(texts)])
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"]: r for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert set(found) == set(range(7))
+    # 40 words are 33 windows; a word put in is in the way of seven.
+    assert found[0]["n_found"] == 26 and found[3]["n_found"] == found[4]["n_found"] == 33
+    assert found[0]["verbatim"] and found[3]["verbatim"]
+
+
 def least_capacity(sizes, count):
     def parts(capacity):
         n, used = 1, 0

@@ -1,20 +1,23 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
 Texts are brought to templates: numbers, capitalised names and units become typed placeholders, everything else is
-lower-cased without punctuation. Windows of template words of documents and benchmark items are joined by hash. Along
-one alignment of a document with an item, the words behind the placeholders must map one to one: a re-parameterised
-question replaces a value everywhere by the same other value; a chance match of templates does not.
+lower-cased without punctuation. Windows of template words, and of plain lower-cased words, of documents and benchmark
+items are joined by hash. Over neighbouring alignments of a document with an item, the words behind the placeholders
+must map one to one: a re-parameterised question replaces a value everywhere by the same other value; a chance match of
+templates does not. Windows of other words where they do not are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import Tables, row_hash
 
-#: Template words of a window, and the share of an item's windows that must be found in one alignment.
+#: Words of a window, and the share of an item's windows or words that must be found.
 WINDOW, MIN_SHARE = 8, 0.5
+#: Alignments that this many words or fewer part from the next belong together: an item with words put in or left out.
+SLACK = 16
 #: Benchmark windows up to this many (under 100 MB with their keys) are broadcast; more are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -47,39 +50,54 @@ def _words(column: Column) -> Column:
     return F.filter(F.split(column, " ", -1), lambda w: w != "")
 
 
-def _windows(words: Column, size: Column) -> Column:
+def _windows(words: Column, size: Column, plain: bool) -> Column:
     """Hash and place of every window of ``size`` words."""
     last = F.size(words) - size
     places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h")))
+    return F.transform(
+        places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h"), F.lit(plain).alias("plain"))
+    )
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """(item_id, size, at, h, windows): an item shorter than a window is one window of its own size."""
-    words = _words(_template(_clean(F.col("text"))))
-    items = benchmark.select("item_id", words.alias("words")).filter(F.size("words") > 0)
-    sized = items.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    return sized.select(
-        "item_id", "size", (F.size("words") - F.col("size") + 1).alias("windows"),
-        F.inline(_windows(F.col("words"), F.col("size"))),
-    )
+    """(item_id, size, windows, at, h, plain): an item shorter than a window is one window of its own size."""
+    clean = _clean(F.col("text"))
+    items = benchmark.select("item_id", _words(_template(clean)).alias("template"), _words(F.lower(clean)).alias("words"))
+    sized = items.filter(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(window)))
+    found = F.concat(_windows(F.col("template"), F.col("size"), False), _windows(F.col("words"), F.col("size"), True))
+    return sized.select("item_id", "size", (F.size("words") - F.col("size") + 1).alias("windows"), F.inline(found))
 
 
-def _hits(docs: DataFrame, items: DataFrame, window: int, tables: Tables) -> DataFrame:
-    """(row_hash, item_id, windows, size, doc_at, item_at): equal template windows."""
+def _hits(docs: DataFrame, items: DataFrame, tables: Tables) -> DataFrame:
+    """(row_hash, item_id, windows, size, doc_at, item_at, plain): windows of equal templates or words; ``plain`` tells
+    that the words are equal."""
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window`` numbers
-    words = _words(_template(_clean(F.col("text").cast("string"))))
-    prepared = docs.select(row_hash(docs.columns).alias("row_hash"), words.alias("words"))
+    clean = _clean(F.col("text").cast("string"))
+    prepared = docs.select(
+        row_hash(docs.columns).alias("row_hash"), _words(_template(clean)).alias("template"), _words(F.lower(clean)).alias("words")
+    )
 
     def sized(size: int) -> Column:
-        return F.transform(_windows(F.col("words"), F.lit(size)), lambda w: w.withField("size", F.lit(size)))
+        both = F.concat(_windows(F.col("template"), F.lit(size), False), _windows(F.col("words"), F.lit(size), True))
+        return F.transform(both, lambda w: w.withField("size", F.lit(size)))
 
     found = F.flatten(F.array(*map(sized, sizes)))
     rows = prepared.select("row_hash", F.inline(found)).withColumnRenamed("at", "doc_at")
     side = items.withColumnRenamed("at", "item_at")
     if items.count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
-    return rows.join(side, ["h", "size"]).drop("h")
+    hits = rows.join(side, ["h", "size", "plain"])
+    return hits.groupBy("row_hash", "item_id", "windows", "size", "doc_at", "item_at").agg(F.max("plain").alias("plain"))
+
+
+def _in_reach(hits: DataFrame) -> DataFrame:
+    """Hits with ``reach``, the number of their set of neighbouring alignments within document and item."""
+    by_shift = Window.partitionBy("row_hash", "item_id").orderBy("shift")
+    placed = hits.withColumn("shift", F.col("doc_at") - F.col("item_at"))
+    far = F.col("shift") - F.lag("shift").over(by_shift) > SLACK
+    return placed.withColumn("far", F.coalesce(far.cast("int"), F.lit(0))).withColumn(
+        "reach", F.sum("far").over(by_shift.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    )
 
 
 def contaminated(
@@ -87,9 +105,11 @@ def contaminated(
 ) -> DataFrame:
     """Benchmark items found in documents: (row_hash, doc_id, item_id, n_windows, n_found, share, verbatim).
 
-    A document holds an item if in one alignment at least ``min_share`` of the item's windows are found with words behind
-    the placeholders that map one to one between item and document; ``verbatim`` tells that all of them are the same
-    words. The best alignment counts. An item of fewer words than a window is one window, found whole or not at all.
+    A window is found where its words stand in any case, or its template with words behind the placeholders that map one
+    to one between item and document, over all windows found in neighbouring alignments. A document holds an item if at
+    least ``min_share`` of the item's windows are found, or windows that cover as much of its words, words under a window
+    that maps otherwise left out. ``verbatim`` tells that all windows found are of the same words. The best set of
+    alignments counts. An item of fewer words than a window is one window, found whole or not at all.
 
     NULL and wordless texts and items match nothing. Repeated items and rows are reported each; rows equal in every column
     count as one document. Other columns only tell rows apart. No documents or no items give no rows.
@@ -100,12 +120,14 @@ def contaminated(
         return docs.sparkSession.createDataFrame(
             [], "row_hash long, doc_id long, item_id long, n_windows int, n_found long, share double, verbatim boolean"
         )
-    hits = tables.write(_hits(docs, items, window, tables), "hits")
-    # Only alignments with enough windows are looked at closer.
+    hits = tables.write(_hits(docs, items, tables), "hits")
+    # Only sets of alignments that can cover enough words are looked at closer.
+    hit = F.struct("item_at", "doc_at", "plain")
     aligned = (
-        hits.groupBy("row_hash", "item_id", "size", "windows", (F.col("doc_at") - F.col("item_at")).alias("shift"))
-        .agg(F.count_distinct("item_at").alias("n_found"), F.min("item_at").alias("low"), F.max("item_at").alias("high"))
-        .filter(F.col("n_found") >= min_share * F.col("windows"))
+        _in_reach(hits)
+        .groupBy("row_hash", "item_id", "size", "windows", "reach")
+        .agg(F.count_distinct("item_at").alias("n"), F.collect_list(hit).alias("hits"))
+        .filter(F.col("n") * F.col("size") >= min_share * (F.col("windows") + F.col("size") - 1))
     )
     aligned = tables.write(aligned, "aligned")
     doc_words = docs.withColumn("row_hash", row_hash(docs.columns)).select(
@@ -114,28 +136,44 @@ def contaminated(
     doc_words = doc_words.join(aligned.select("row_hash").distinct(), "row_hash", "left_semi").dropDuplicates(["row_hash"])
     clean = _clean(F.col("text"))
     item_words = benchmark.select(
-        "item_id", _words(clean).alias("item_words"), _words(_template(clean)).alias("item_template")
+        "item_id", _words(F.lower(clean)).alias("item_words"), _words(_template(clean)).alias("item_template")
     )
     joined = aligned.join(
-        doc_words.select("row_hash", "doc_id", _words(F.col("clean")).alias("doc_words")), "row_hash"
+        doc_words.select("row_hash", "doc_id", _words(F.lower("clean")).alias("doc_words")), "row_hash"
     ).join(item_words, "item_id")
 
-    # Words of item and document side by side, over the stretch from the first to the last window found.
-    count = F.col("high") - F.col("low") + F.col("size")
-    sides = F.arrays_zip(
-        F.slice("item_template", F.col("low") + 1, count).alias("t"),
-        F.slice("item_words", F.col("low") + 1, count).alias("a"),
-        F.slice("doc_words", F.col("low") + F.col("shift") + 1, count).alias("b"),
+    # Words of item and document behind the placeholders of every window found.
+    def slots(h: Column) -> Column:
+        sides = F.arrays_zip(
+            F.slice("item_template", h["item_at"] + 1, F.col("size")),
+            F.slice("item_words", h["item_at"] + 1, F.col("size")),
+            F.slice("doc_words", h["doc_at"] + 1, F.col("size")),
+        )
+        named = F.transform(sides, lambda s: F.struct(s["0"].alias("t"), s["1"].alias("a"), s["2"].alias("b")))
+        return F.array_distinct(F.filter(named, lambda s: s["t"].rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+
+    def covered(found: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(found, lambda h: F.sequence(h["item_at"], h["item_at"] + F.col("size") - 1))))
+
+    every = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["slots"])))
+    clashes = F.filter(
+        "every", lambda s: F.exists("every", lambda o: (o["t"] == s["t"]) & ((o["a"] == s["a"]) != (o["b"] == s["b"])))
     )
-    slots = F.array_distinct(F.filter(F.col("sides"), lambda s: s["t"].rlike(f"[{NUMBER}{NAME}{UNIT}]")))
-    slots = F.transform(slots, lambda s: F.struct(s["t"].alias("t"), s["a"].alias("a"), s["b"].alias("b")))
-    froms = F.array_distinct(F.transform(F.col("slots"), lambda s: F.struct(s["t"], s["a"])))
-    tos = F.array_distinct(F.transform(F.col("slots"), lambda s: F.struct(s["t"], s["b"])))
+    fits = lambda h: h["plain"] | ~F.arrays_overlap(h["slots"], F.col("clashes"))
+    places = lambda found: F.array_distinct(F.transform(found, lambda h: h["item_at"]))
     judged = (
-        joined.withColumn("sides", sides)
-        .withColumn("slots", slots)
-        .filter((F.size(froms) == F.size("slots")) & (F.size(tos) == F.size("slots")))
-        .withColumn("verbatim", F.forall("slots", lambda s: s["a"] == s["b"]))
+        joined.withColumn("hits", F.transform("hits", lambda h: h.withField("slots", slots(h))))
+        .withColumn("every", every)
+        .withColumn("clashes", clashes)
+        .withColumn("fit", F.filter("hits", fits))
+        .withColumn("unfit", F.filter("hits", lambda h: ~fits(h)))
+        .withColumn("n_found", F.size(places(F.col("fit"))).cast("long"))
+        .withColumn("n_covered", F.size(F.array_except(covered(F.col("fit")), covered(F.col("unfit")))))
+        .filter(
+            (F.col("n_found") >= min_share * F.col("windows"))
+            | (F.col("n_covered") >= min_share * (F.col("windows") + F.col("size") - 1))
+        )
+        .withColumn("verbatim", F.size(places(F.filter("fit", lambda h: h["plain"]))) == F.col("n_found"))
     )
     best = judged.groupBy("row_hash", "doc_id", "item_id", F.col("windows").alias("n_windows")).agg(
         F.max(F.struct("n_found", "verbatim")).alias("best")
