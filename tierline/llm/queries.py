@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat, decontamination, language, lines, packing, rules, sentences, shards, simhash, suffix
+from tierline.llm import (
+    chat,
+    decontamination,
+    language,
+    lines,
+    negatives,
+    packing,
+    rules,
+    sentences,
+    shards,
+    simhash,
+    suffix,
+    whitening,
+)
 from tierline.scratch import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,11 +116,36 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(_table(spark, folder, "documents"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with a seventh of the labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, folder, "embeddings").withColumn("label", moved))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The eight leading whitened components of every vector, one row for each."""
+    vectors = _table(spark, folder, "embeddings")
+    model = whitening.fit(vectors, 8)
+    if model is None:
+        return spark.createDataFrame([], _WHITENED)
+    # The check reads the written numbers, not a second computation of them.
+    done = staged(whitening.whiten(vectors, model), "whitened")
+    explained = F.array(*[F.lit(float(e) / model.trace) for e in model.values])
+    error = whitening.identity_error(done, model)
+    return done.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "value")).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"), F.col("value").alias("whitened"),
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
+_WHITENED = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_packing, op3_simhash, op4_chat, op5_sharding, op6_sentences, op7_suffix, op8_decontamination,
-        op9_quality, op10_line_dedup,
+        op9_quality, op10_line_dedup, op11_negatives, op13_whitening,
     )
 }
 _TURNS = "ORDER BY turn NULLS FIRST, r, x"
@@ -154,4 +192,26 @@ WITH cut AS (
 )
 SELECT doc_id, (min(k) - 1)::int AS first_sentence, count(*) AS n_sentences FROM islands GROUP BY doc_id, island
 """
-SQL: dict[str, str] = {"op4_chat": _CHAT, "op6_sentences": _SENTENCES}
+_NEGATIVES = """
+WITH taken AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::bigint AS score
+  FROM taken a JOIN taken b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), met AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n
+    ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::int AS rank,
+  negative_id, positive_score, negative_score
+FROM met QUALIFY rank <= 5
+"""
+SQL: dict[str, str] = {"op4_chat": _CHAT, "op6_sentences": _SENTENCES, "op11_negatives": _NEGATIVES}
