@@ -11,6 +11,7 @@ from tierline.llm import (
     chat,
     decontamination,
     language,
+    licenses,
     lines,
     negatives,
     packing,
@@ -122,6 +123,17 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, folder, "embeddings").withColumn("label", moved))
 
 
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences of every document: the places of three phrases, and what all rules say."""
+    base = F.filter("finds", lambda f: f["base"])
+    starts = F.transform(base, lambda f: f["first_word"])
+    return licenses.scanned(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), licenses.labels_of("finds", lambda f: f["base"]).alias("base_labels"),
+        licenses.labels_of("finds", lambda f: f["base"] | f["kept"]).alias("labels"), "score",
+    )
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """The eight leading whitened components of every vector, one row for each."""
     vectors = _table(spark, folder, "embeddings")
@@ -145,7 +157,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_packing, op3_simhash, op4_chat, op5_sharding, op6_sentences, op7_suffix, op8_decontamination,
-        op9_quality, op10_line_dedup, op11_negatives, op13_whitening,
+        op9_quality, op10_line_dedup, op11_negatives, op12_licenses, op13_whitening,
     )
 }
 _TURNS = "ORDER BY turn NULLS FIRST, r, x"
