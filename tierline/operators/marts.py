@@ -53,18 +53,45 @@ def usage_daily(fact: DataFrame, dimensions: Mapping[str, DataFrame], *carried:
     return daily.select(*USAGE_DAILY_COLUMNS, *[F.col(m).alias(t) for m, t in USAGE_TOTALS.items()], *carried)
 
 
-def usage_monthly(daily: DataFrame) -> DataFrame:
-    """Monthly totals with exact distinct subscribers and access points.
+# What is counted without repeats: column of the daily table, and the count's name.
+COUNTED_MEMBERS = {"imsi": "distinct_imsi_count", "apn": "distinct_apn_count"}
+STATE_KEYS = (*USAGE_MONTHLY_GRAIN, "member_kind", "member")
+
+
+def usage_month_state(daily: DataFrame, *carried: str) -> DataFrame:
+    """Mergeable state of the monthly table: one row for each group and member, with the group's sums on the subscribers.
 
-    The distinct counts shuffle on (group, counted value) first, so one busy group spreads over all tasks.
+    A set of members is kept as its members, so sets of several days unite by grouping again, exactly, and the sums add up
+    beside them. A group that holds a third of the rows spreads over its members.
     """
-    return daily.groupBy(*USAGE_MONTHLY_GRAIN).agg(
+    first, *others = COUNTED_MEMBERS
+    sums = list(USAGE_TOTALS.values())
+    rows = [F.struct(F.lit(first).alias("member_kind"), F.col(first).alias("member"), *sums)]
+    for kind in others:
+        none = [F.lit(None).cast(daily.schema[t].dataType).alias(t) for t in sums]
+        rows.append(F.struct(F.lit(kind).alias("member_kind"), F.col(kind).alias("member"), *none))
+    each = daily.select(*carried, *USAGE_MONTHLY_GRAIN, F.inline(F.array(*rows)))
+    return each.groupBy(*carried, *STATE_KEYS).agg(*[F.sum(t).alias(t) for t in sums])
+
+
+def merged_state(state: DataFrame) -> DataFrame:
+    """States of several days as one."""
+    return state.groupBy(*STATE_KEYS).agg(*[F.sum(t).alias(t) for t in USAGE_TOTALS.values()])
+
+
+def usage_months(state: DataFrame) -> DataFrame:
+    """Monthly totals and exact distinct counts from a state with one row for each group and member."""
+    return state.groupBy(*USAGE_MONTHLY_GRAIN).agg(
         *[F.sum(t).cast("bigint" if t == "total_event_count" else "decimal(38,6)").alias(t) for t in USAGE_TOTALS.values()],
-        F.count_distinct("imsi").alias("distinct_imsi_count"),
-        F.count_distinct("apn").alias("distinct_apn_count"),
+        *[F.count(F.when(F.col("member_kind") == kind, F.col("member"))).alias(n) for kind, n in COUNTED_MEMBERS.items()],
     )
 
 
+def usage_monthly(daily: DataFrame) -> DataFrame:
+    """Monthly totals with exact distinct subscribers and access points: two hash aggregates, and as many shuffles."""
+    return usage_months(usage_month_state(daily))
+
+
 def _forecast_totals() -> list[Column]:
     sums = []
     for measure, total in FORECAST_TOTALS.items():

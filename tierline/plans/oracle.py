@@ -547,6 +547,23 @@ CTES["ffact_kept"] = (
     "(SELECT min(year(period_start_date)) FROM forecast))",
     ("ffact", "forecast"),
 )
+# Usage records dated on the first of their month, and what stays of them after the open ones came again without that year.
+_OLDEST_OPEN = "o_orderstatus = 'O' AND year(l_shipdate) = (SELECT min(year(l_shipdate)) FROM lineitem)"
+CTES["copies_kept"] = ("SELECT * REPLACE (date_trunc('month', l_shipdate)::timestamp AS l_shipdate) FROM copies", ("copies",))
+_CLEANED_KEPT = CTES["cleaned"][0].replace("copies l", "copies_kept l")
+CTES["cleaned_all"] = (_CLEANED_KEPT, ("copies_kept",))
+CTES["cleaned_kept"] = (f"{_CLEANED_KEPT} WHERE NOT ({_OLDEST_OPEN})", ("copies_kept",))
+CTES["bronze_kept"] = (CTES["bronze"][0].replace("FROM cleaned", "FROM cleaned_kept"), ("cleaned_kept",))
+CTES["grouped_kept"] = (CTES["grouped"][0].replace("FROM bronze", "FROM bronze_kept"), ("bronze_kept",))
+CTES["fact_kept"] = (CTES["fact"][0].replace("FROM grouped", "FROM grouped_kept"), ("grouped_kept",))
+# Dimensions keep the members of every load.
+CTES["bronze_all"] = (CTES["bronze"][0].replace("FROM cleaned", "FROM cleaned_all"), ("cleaned_all",))
+for _table in USAGE_DIMENSIONS:
+    CTES[f"{_table}_all"] = (CTES[_table][0].replace("FROM bronze", "FROM bronze_all"), ("bronze_all",))
+_DAILY_KEPT = CTES["daily"][0].replace("fact.", "fact_kept.").replace("FROM fact ", "FROM fact_kept fact_kept ")
+for _table in USAGE_DIMENSIONS:
+    _DAILY_KEPT = _DAILY_KEPT.replace(f"LEFT JOIN {_table} ON", f"LEFT JOIN {_table}_all {_table} ON")
+CTES["daily_kept"] = (_DAILY_KEPT, ("fact_kept", *[f"{t}_all" for t in USAGE_DIMENSIONS]))
 CTES["client_date_kept"] = (CTES["client_date"][0].replace("FROM ffact ", "FROM ffact_kept "), ("ffact_kept",))
 
 
@@ -671,6 +688,7 @@ def sql() -> dict[str, str]:
         ),
         "usage_fact": s("SELECT * FROM fact", "fact"),
         "gold_daily": s("SELECT * FROM daily", "daily"),
+        "usage_reload": s(_MONTHLY + "FROM daily_kept GROUP BY " + ", ".join(USAGE_MONTHLY_GRAIN), "daily_kept"),
         "gold_monthly": s(_MONTHLY + "FROM daily GROUP BY " + ", ".join(USAGE_MONTHLY_GRAIN), "daily"),
         "forecast_fact": s("SELECT * FROM ffact", "ffact"),
         "documented_forecast_fact": s(_documented(), "forecast"),

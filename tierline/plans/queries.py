@@ -277,6 +277,36 @@ def forecast_reload(spark, folder):
     return spark.table(table_spec("forecast", "gold").full_name(tenant)).drop("created_at", "updated_at")
 
 
+def _by_month(raw: DataFrame) -> DataFrame:
+    """Usage records with the first of the month for the day, in the spelling they have: as many call days as months."""
+    day = F.col("Call Date")
+    first = (
+        F.when(day.rlike(r"^\d{8}$"), F.concat(F.substring(day, 1, 6), F.lit("01")))
+        .when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(F.substring(day, 1, 8), F.lit("01")))
+        .when(day.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.concat(F.lit("01"), F.substring(day, 3, 8)))
+        .otherwise(day)
+    )
+    return raw.withColumn("Call Date", first)
+
+
+@query
+def usage_reload(spark, folder):
+    """Monthly totals after three loads of two batches through all layers, the first batch at last without its oldest year.
+
+    Partial sums are merged as soon as two batches meet, so the last load replaces rows of a merged batch.
+    """
+    tenant = _own_tenant("reload")
+    raw = _pathed(_by_month(_usage_raw(spark, folder)), "Bronze/Traffic")
+    open_ = F.coalesce(F.col("Batch ID"), F.lit("")) == "O"
+    year = F.substring("Call Month", 1, 4).try_cast("int")
+    oldest = -int(_last(raw, -year))
+    loads = (("0", raw.filter(open_), 1), ("1", raw.filter(~open_), 1), ("0", raw.filter(open_ & (year > oldest)), 2))
+    for batch, part, day in loads:
+        bad = scratch_path(spark, "quarantine")
+        usage.load_usage(spark, tenant, part, batch, f"2026-01-0{day} 00:00:00", bad, compact_at=2)
+    return spark.table(table_spec("traffic_monthly", "gold").full_name(tenant)).drop("created_at", "updated_at")
+
+
 @query
 def settlement_reload(spark, folder):
     """Settlement rows after two batches, the first loaded again on another day without its VR rows."""

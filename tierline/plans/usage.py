@@ -20,7 +20,7 @@ from tierline.model import (
     table_spec,
 )
 from tierline.operators import dimensions as dims
-from tierline.operators import facts, marts, tables
+from tierline.operators import facts, increments, marts, tables
 from tierline.operators.rows import filter_empty_rows, split, type_reasons, type_violation
 from tierline.operators.shape import (
     add_audit_columns,
@@ -35,6 +35,8 @@ from tierline.sources.files import SOURCE, SOURCE_PATH, SOURCE_TEXT, tenant_of
 
 BOUNDED = [d for d in USAGE_DIMENSIONS.values() if not d.unbounded]
 UNBOUNDED = [d for d in USAGE_DIMENSIONS.values() if d.unbounded]
+#: Days with so many partitions of partial sums get one set of files.
+COMPACT_AT = 16
 
 
 def clean_usage(raw: DataFrame) -> DataFrame:
@@ -95,7 +97,7 @@ def _call_day(call_date: Column) -> Column:
 def usage_specs() -> list[TableSpec]:
     pairs = [
         ("traffic", "bronze"), ("traffic_increment", "silver"), ("traffic", "silver"),
-        ("traffic", "gold"), ("traffic_monthly", "gold"),
+        ("traffic", "gold"), ("traffic_state", "silver"), ("traffic_monthly", "gold"),
     ]
     return [table_spec(*p) for p in pairs] + [DIMENSION_TABLES[d] for d in USAGE_DIMENSIONS]
 
@@ -106,13 +108,16 @@ def create_usage_tables(spark: SparkSession, tenant: str) -> None:
         tables.create_from_spec(spark, tenant, spec)
 
 
-def load_usage(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str) -> None:
+def load_usage(
+    spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str, compact_at: int = COMPACT_AT
+) -> None:
     """One batch of raw rows (with their file path) through bronze, silver and gold.
 
     Every step replaces partitions or inserts missing keys, so a batch can be repeated after any failure, on another day,
     and with other rows than before: whatever the earlier run left is replaced, and the days that only it had are rebuilt
     without it. The work follows the batch: bronze is read for this batch only, and the fact, daily and monthly tables
-    are rebuilt for the days and months it touches, from per-batch partial sums instead of from bronze.
+    are rebuilt for the days and months it touches, from per-batch partial sums instead of from bronze. Days with
+    ``compact_at`` partitions of partial sums and more have them merged.
     """
     create_usage_tables(spark, tenant)
     write_bronze(tenant, raw, batch, loaded_at, quarantine)
@@ -123,7 +128,8 @@ def load_usage(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loa
     update_gold(spark, tenant, days, loaded_at)
     # Last, so that a run that stops before knows from them which days to rebuild.
     increment = table_spec("traffic_increment", "silver").full_name(tenant)
-    tables.drop_partitions(spark, increment, [{"call_day": d, "_batch": batch} for d in stale])
+    increments.forget(spark, increment, batch, stale)
+    increments.compact(spark, increment, days, compact_at)
 
 
 def accepted_rows(spark: SparkSession, tenant: str) -> DataFrame:
@@ -185,9 +191,9 @@ def write_increment(spark: SparkSession, tenant: str, batch_rows: DataFrame, bat
     Days are partition values: no more than the calendar has.
     """
     name = table_spec("traffic_increment", "silver").full_name(tenant)
-    before = {p["call_day"] for p in tables.partitions_of(spark, name, _batch=batch)}
+    before = increments.days_of(spark, name, increments.checked_batch(batch))
     partial = facts.combine_usage(facts.usage_lines(batch_rows)).withColumns(
-        {"call_day": _call_day(F.col("call_date")), "_batch": F.lit(batch)}
+        {"call_day": _call_day(F.col("call_date")), "_batch": F.lit(batch), "batch_of": F.lit(batch)}
     )
     partial = staged(partial, "increment")
     now = {r["call_day"] for r in partial.select("call_day").distinct().collect()}
@@ -197,9 +203,9 @@ def write_increment(spark: SparkSession, tenant: str, batch_rows: DataFrame, bat
 
 def update_fact(spark: SparkSession, tenant: str, batch: str, days: list[str], stale: list[str], loaded_at: str) -> None:
     """Rebuild the fact's days from the partial sums of all batches, without what the batch no longer has."""
-    increments = spark.table(table_spec("traffic_increment", "silver").full_name(tenant))
-    outdated = (F.col("_batch") == batch) & F.col("call_day").isin(stale)
-    combined = facts.combine_usage(increments.filter(F.col("call_day").isin(days) & ~outdated), "call_day")
+    partial = increments.live(spark, table_spec("traffic_increment", "silver").full_name(tenant), days)
+    outdated = (F.col("batch_of") == batch) & F.col("call_day").isin(stale)
+    combined = facts.combine_usage(partial.filter(~outdated), "call_day")
     fact = stamp(facts.key_usage(combined, "call_day"), loaded_at)
     tables.replace_values(fact, table_spec("traffic", "silver").full_name(tenant), "call_day", days)
 
@@ -209,19 +215,32 @@ def stored_dimensions(spark: SparkSession, tenant: str) -> Mapping[str, DataFram
 
 
 def update_gold(spark: SparkSession, tenant: str, days: list[str], loaded_at: str) -> None:
-    """Rebuild the daily rows of the days, and the monthly rows of their months."""
+    """Rebuild the days' daily rows and monthly state, and the monthly rows of their months from the state.
+
+    Other days of a month are read as state only: one row for each group and member of a day.
+    """
     fact = spark.table(table_spec("traffic", "silver").full_name(tenant)).filter(F.col("call_day").isin(days))
     daily_name = table_spec("traffic", "gold").full_name(tenant)
-    # Months the days were in and are in now; a date has one month, so there are no more than dates.
-    held = tables.partitions_of(spark, daily_name)
-    months = {p["call_month"] for p in held if p["call_day"] in set(days)}
+    state_name = table_spec("traffic_state", "silver").full_name(tenant)
     daily = staged(stamp(marts.usage_daily(fact, stored_dimensions(spark, tenant), "call_day"), loaded_at), "daily")
     now = {(r["call_month"], r["call_day"]) for r in daily.select("call_month", "call_day").distinct().collect()}
-    tables.overwrite_partitions(daily, daily_name)
-    left = [p for p in held if p["call_day"] in set(days) and (p["call_month"], p["call_day"]) not in now]
-    tables.drop_partitions(spark, daily_name, left)
+    months = _replace_days(daily, daily_name, days, now)
+    # The state may hold months that the daily table has lost already, after a run that stopped in between.
+    months |= _replace_days(marts.usage_month_state(daily, "call_day"), state_name, days, now)
 
-    months = sorted(months | {m for m, _ in now}, key=lambda m: (m is None, m or ""))
-    whole = spark.table(daily_name).filter(tables.among("call_month", months))
-    monthly = stamp(marts.usage_monthly(whole), loaded_at)
+    months = sorted(months, key=lambda m: (m is None, m or ""))
+    whole = spark.table(state_name).filter(tables.among("call_month", months))
+    monthly = stamp(marts.usage_months(marts.merged_state(whole)), loaded_at)
     tables.replace_values(monthly, table_spec("traffic_monthly", "gold").full_name(tenant), "call_month", months)
+
+
+def _replace_days(rows: DataFrame, name: str, days: list[str], now: set[tuple]) -> set[str | None]:
+    """Put rebuilt days in place of the old ones; returns the months they were in and are in now.
+
+    A date has one month, so there are no more of them than dates.
+    """
+    spark = rows.sparkSession
+    old = [p for p in tables.partitions_of(spark, name) if p["call_day"] in set(days)]
+    tables.overwrite_partitions(rows, name)
+    tables.drop_partitions(spark, name, [p for p in old if (p["call_month"], p["call_day"]) not in now])
+    return {p["call_month"] for p in old} | {m for m, _ in now}
