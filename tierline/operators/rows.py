@@ -106,6 +106,31 @@ def split_by_required(
     return split(df, required_violation(df.columns, required, source_columns))
 
 
+def split_whole(df: DataFrame, violation: Column, group: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) by whole groups, such as files: one bad row holds back all rows of its group.
+
+    Groups with a bad row are few, and found by one pass with a map-side distinct; both sides then read the frame again, so
+    pass a stored one. Rows without a group are judged on their own.
+    """
+    bad = df.filter(violation & F.col(group).isNotNull()).select(group).distinct()
+    invalid = df.join(bad, group, "left_semi").unionByName(df.filter(violation & F.col(group).isNull()))
+    alone = F.col(group).isNull() & F.coalesce(violation, F.lit(False))
+    return df.filter(~alone).join(bad, group, "left_anti").select(*df.columns), invalid.select(*df.columns)
+
+
+def unreadable(columns: Mapping[str, str], types: Mapping[str, str]) -> Column:
+    """Names of the filled text columns that the cast to their type would turn into NULL; empty for a readable row.
+
+    ``columns`` maps column names to their present types; what is no text is typed already.
+    """
+    told = [
+        F.when((F.trim(c) != "") & F.trim(c).try_cast(kind).isNull(), c)
+        for c, kind in types.items()
+        if kind != "string" and columns.get(c) == "string"
+    ]
+    return F.concat_ws(",", *told)
+
+
 def split_stats(df: DataFrame, violation: Column) -> DataFrame:
     """Both counts and their percentages in one aggregate."""
     counted = df.agg(F.count_if(~violation).alias("valid_rows"), F.count_if(violation).alias("invalid_rows"))

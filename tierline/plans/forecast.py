@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierline.model import DIMENSION_TABLES, FORECAST_TYPES, TABLES, TableSpec, table_spec
 from tierline.operators import dimensions as dims
 from tierline.operators import facts, marts, quality, tables
-from tierline.operators.rows import any_of
+from tierline.operators.rows import any_of, split_whole, unreadable
 from tierline.operators.shape import (
     add_load_columns,
     cast_columns,
@@ -17,6 +17,7 @@ from tierline.operators.shape import (
     stamp,
 )
 from tierline.scratch import staged
+from tierline.sources.files import SOURCE_PATH, SOURCE_REASON, SOURCE_TEXT, read_rescued
 
 FORECAST_DIMENSIONS = ("dim_forecast_actual", "dim_partner", "dim_agreement")
 GOLD = {
@@ -32,6 +33,31 @@ def forecast_bronze(raw: DataFrame, loaded_at: str) -> DataFrame:
     return add_load_columns(select_available(typed, list(FORECAST_TYPES)), loaded_at)
 
 
+#: Reason of a good row whose file is held back for another one.
+HELD = "file"
+
+
+def split_forecast(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readable, unreadable) rows; a value that does not fit its type holds back its whole file, as the file's load would fail.
+
+    Unreadable rows carry ``error_message``: the columns that cannot be read, ``cells`` for a row that its header does not fit,
+    or ``file`` for the other rows of its file. Rows without a path stand for themselves.
+    """
+    named = lowercase_columns(raw)
+    reason = F.nullif(unreadable(dict(named.dtypes), FORECAST_TYPES), F.lit(""))
+    if SOURCE_REASON in named.columns:
+        reason = F.coalesce(F.col(SOURCE_REASON), reason)
+    if SOURCE_PATH not in named.columns:
+        named = named.withColumn(SOURCE_PATH, F.lit(None).cast("string"))
+    good, bad = split_whole(named.withColumn("error_message", reason), F.col("error_message").isNotNull(), SOURCE_PATH)
+    return good.drop("error_message"), bad.fillna(HELD, ["error_message"])
+
+
+def read_forecast(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Landed forecast files, typed by the reader; rows that cannot be read keep their text and the reason."""
+    return read_rescued(spark, paths, FORECAST_TYPES)
+
+
 def build_dimensions(bronze: DataFrame, run_at: str) -> dict[str, DataFrame]:
     return {
         "dim_forecast_actual": dims.forecast_actual_dimension(bronze),
@@ -73,11 +99,26 @@ def create_forecast_tables(spark: SparkSession, tenant: str) -> None:
         tables.create_from_spec(spark, tenant, spec)
 
 
-def load_forecast(spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str) -> None:
-    """One batch through all layers; only the periods it holds, or held in an earlier run, are rebuilt. Safe to repeat."""
+def load_forecast(
+    spark: SparkSession, tenant: str, raw: DataFrame, batch: str, loaded_at: str, quarantine: str | None = None
+) -> None:
+    """One batch through all layers; only the periods it holds, or held in an earlier run, are rebuilt. Safe to repeat.
+
+    No value is silently lost: with ``quarantine`` the files that hold an unreadable value go there whole, with reasons; without,
+    such a value fails the load before anything is written.
+    """
     create_forecast_tables(spark, tenant)
     bronze_name = table_spec("forecast", "bronze").full_name(tenant)
-    tables.replace_batch(forecast_bronze(raw, loaded_at).withColumn("_batch", F.lit(batch)), bronze_name, batch)
+    raw = staged(raw, "landed")
+    good, bad = split_forecast(raw)
+    if quarantine:
+        held = bad.select([F.col(c).cast("string").alias(c) for c in bad.columns])
+        tables.quarantine_csv(held, f"{quarantine}/_batch={batch}")
+    else:
+        first = bad.filter(F.col("error_message") != HELD).first()
+        if first is not None:
+            raise ValueError(f"unreadable {first['error_message']} in {first[SOURCE_PATH] or 'the batch'}")
+    tables.replace_batch(forecast_bronze(good, loaded_at).withColumn("_batch", F.lit(batch)), bronze_name, batch)
     bronze = spark.table(bronze_name).filter(F.col("_batch") == batch)
 
     for name, built in build_dimensions(bronze, loaded_at).items():

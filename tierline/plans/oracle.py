@@ -564,6 +564,17 @@ _DAILY_KEPT = CTES["daily"][0].replace("fact.", "fact_kept.").replace("FROM fact
 for _table in USAGE_DIMENSIONS:
     _DAILY_KEPT = _DAILY_KEPT.replace(f"LEFT JOIN {_table} ON", f"LEFT JOIN {_table}_all {_table} ON")
 CTES["daily_kept"] = (_DAILY_KEPT, ("fact_kept", *[f"{t}_all" for t in USAGE_DIMENSIONS]))
+# Files by partner group; values of some partners are spoiled.
+CTES["spoiled"] = (
+    "SELECT partner_group_name, CASE WHEN odd AND last <> '3' OR NOT odd THEN traffic_volume END AS traffic_volume, "
+    "CASE WHEN NOT odd THEN '' WHEN last = '3' THEN 'period_start_date,traffic_volume' WHEN last = '9' THEN 'period_start_date' "
+    "WHEN last = '5' THEN 'no_of_records' ELSE '' END AS reason "
+    "FROM (SELECT *, forecast_or_actual_ind = 'X' AS odd, right(partner_name, 1) AS last FROM forecast)",
+    ("forecast",),
+)
+CTES["spoiled_files"] = (
+    "SELECT *, bool_or(reason <> '') OVER (PARTITION BY partner_group_name) AS held FROM spoiled", ("spoiled",),
+)
 CTES["client_date_kept"] = (CTES["client_date"][0].replace("FROM ffact ", "FROM ffact_kept "), ("ffact_kept",))
 
 
@@ -648,6 +659,12 @@ def sql() -> dict[str, str]:
             "ORDER BY call_date NULLS FIRST, duration NULLS FIRST, volume NULLS FIRST LIMIT 3",
             "cleaned",
         ),
+        "forecast_split_reasons": s(
+            # A value that cannot be read is NULL; the others of its row and file are there.
+            "SELECT partner_group_name, CASE WHEN reason <> '' THEN reason WHEN held THEN 'file' ELSE '' END AS reason, "
+            "count(*) AS row_count, sum(traffic_volume) AS volume FROM spoiled_files GROUP BY ALL",
+            "spoiled_files",
+        ),
         "forecast_reload": s("SELECT * FROM client_date_kept", "client_date_kept"),
         "settlement_reload": s(
             "SELECT * FROM settlement_gold WHERE NOT (event_type = 'O' AND traffic_direction = 'VR')", "settlement_gold"

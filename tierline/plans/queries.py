@@ -22,7 +22,7 @@ from tierline.operators import dimensions as dims
 from tierline.operators import facts, marts, quality, reports, rows, shape, tables
 from tierline.plans import forecast, settlement, usage
 from tierline.plans.usage import clean_usage, split_usage, usage_bronze
-from tierline.scratch import scratch_path, stored
+from tierline.scratch import scratch_path, staged, stored
 from tierline.sources import derived
 from tierline.sources.files import SOURCE_PATH, detect_layouts, discover_files, read_delimited, read_files, tenant_of
 from tierline.streaming.landing import ingest_stream
@@ -307,6 +307,37 @@ def usage_reload(spark, folder):
     return spark.table(table_spec("traffic_monthly", "gold").full_name(tenant)).drop("created_at", "updated_at")
 
 
+def _forecast_files(spark: SparkSession, folder: str) -> str:
+    """Forecast records as one delimited file for each partner group, with values of some partners that cannot be read."""
+    raw = derived.forecast_raw(spark, folder)
+    odd = F.col("FORECAST_OR_ACTUAL_IND") == "X"
+    spoiled = raw.withColumns(
+        {
+            "TRAFFIC_VOLUME": F.when(odd & F.endswith("PARTNER_NAME", F.lit("3")), "n/a").otherwise(F.col("TRAFFIC_VOLUME")),
+            "PERIOD_START_DATE": F.when(odd & F.col("PARTNER_NAME").rlike("[39]$"), "soon").otherwise(F.col("PERIOD_START_DATE")),
+            "NO_OF_RECORDS": F.when(odd & F.endswith("PARTNER_NAME", F.lit("5")), "1.5").otherwise(F.col("NO_OF_RECORDS")),
+            "delivery": F.col("PARTNER_GROUP_NAME"),
+        }
+    )
+    root = scratch_path(spark, "forecast")
+    spoiled.repartition("delivery").write.partitionBy("delivery").options(header=True, sep=";").csv(root)
+    return root
+
+
+def _files_under(spark: SparkSession, root: str) -> list[str]:
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
+    return [r.path for r in files.select("path").toLocalIterator()]
+
+
+@query
+def forecast_split_reasons(spark, folder):
+    """Typed read of forecast files: rows taken, and rows held back by what cannot be read in them or in their file."""
+    landed = forecast.read_forecast(spark, _files_under(spark, _forecast_files(spark, folder)))
+    good, bad = forecast.split_forecast(staged(landed, "landed"))
+    judged = good.withColumn("reason", F.lit("")).unionByName(bad.withColumnRenamed("error_message", "reason"))
+    return judged.groupBy("partner_group_name", "reason").agg(F.count("*").alias("row_count"), F.sum("traffic_volume").alias("volume"))
+
+
 @query
 def settlement_reload(spark, folder):
     """Settlement rows after two batches, the first loaded again on another day without its VR rows."""

@@ -27,6 +27,8 @@ SOURCE_PATH = "_source_path"
 # The columns of a row's own file, as ``|a|b|``; and the text of a delimited row that its header does not fit.
 SOURCE_COLUMNS, SOURCE_TEXT = "_source_columns", "_source_text"
 SOURCE = (SOURCE_PATH, SOURCE_COLUMNS, SOURCE_TEXT)
+# Why a row of a typed read is not taken: the columns that cannot be read, ``cells`` for too many or too few; NULL for a good row.
+SOURCE_REASON = "_source_reason"
 
 
 def tenant_of(path: Column) -> Column:
@@ -179,6 +181,45 @@ def read_typed(spark: SparkSession, paths: Sequence[str], schema: StructType, de
     return reader.csv(list(paths))
 
 
+def read_rescued(
+    spark: SparkSession, paths: Sequence[str], types: Mapping[str, str], *, multi_line: bool = False
+) -> DataFrame:
+    """Delimited files parsed once, straight into types; a row that does not fit keeps its text and gets a reason.
+
+    Columns are the normalised headers of each layout, text where ``types`` does not name them, beside the path, the text of a
+    row that cannot be read (:data:`SOURCE_TEXT`) and :data:`SOURCE_REASON`. An empty cell is NULL. The text of a bad row is
+    taken apart again to name its columns; good rows, nearly all, are parsed by the reader alone.
+    """
+    by_layout = defaultdict(list)
+    for row in detect_layouts(spark, paths).toLocalIterator():
+        by_layout[row["delimiter"], row["header"]].append(row["path"])
+    frames = [
+        _rescued_layout(spark, files, header, delimiter, types, multi_line) for (delimiter, header), files in sorted(by_layout.items())
+    ]
+    if frames:
+        return _union(spark, frames)
+    none = ", ".join(f"{c} {t}" for c, t in types.items())
+    return spark.createDataFrame([], f"{none}, {SOURCE_TEXT} string, {SOURCE_PATH} string, {SOURCE_REASON} string")
+
+
+def _rescued_layout(spark, files, header, delimiter, types, multi_line) -> DataFrame:
+    names = normalized_names(next(csv.reader([header], delimiter=delimiter)))
+    schema = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": SOURCE_TEXT}
+    reader = spark.read.schema(f"{schema}, {SOURCE_TEXT} string").options(
+        header=True, multiLine=multi_line, mode="PERMISSIVE", nullValue="", columnPruning=False, **options
+    )
+    rows = reader.csv(files).select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    texts = ", ".join(f"`{n}` string" for n in (*names, SOURCE_TEXT))
+    cells = F.from_csv(F.col(SOURCE_TEXT), texts, {"mode": "PERMISSIVE", **options})
+    broken = [
+        F.when((cells[n] != "") & cells[n].try_cast(types[n]).isNull(), n) for n in names if types.get(n, "string") != "string"
+    ]
+    named = F.nullif(F.concat_ws(",", *broken), F.lit(""))
+    reason = F.when(cells[SOURCE_TEXT].isNotNull(), "cells").otherwise(F.coalesce(named, F.lit("unreadable")))
+    return rows.withColumn(SOURCE_REASON, F.when(F.col(SOURCE_TEXT).isNotNull(), reason))
+
+
 def _union(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in SOURCE]))
