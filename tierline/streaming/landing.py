@@ -9,19 +9,24 @@ others of its batch are loaded.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.sources.files import landing_filter, read_files, tenant_of
+from tierline.sources.files import SOURCE, SOURCE_PATH, SOURCE_TEXT, landing_filter, read_delimited, read_files, tenant_of
 
 # Fixed value: the columns of Spark's binary file source.
 FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 #: Characters of the reason that is kept for a file that failed.
 REASON_LENGTH = 500
 
+# Fixed value: the first and last bytes of a columnar file.
+_MARK = b"PAR1"
+
 #: (tenant, rows, batch id, load time); rows have the columns of ``sources.files.SOURCE``.
 Handler = Callable[[str, DataFrame, str, str], None]
 
@@ -57,14 +62,79 @@ def batch_name(checkpoint: str, batch_id: int) -> str:
     return f"{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{batch_id}"
 
 
+def _plain(path: str) -> str:
+    """One spelling of a path: readers give ``file:///a%20b`` where listings give ``file:/a b`` or ``/a b``."""
+    return re.sub(r"^file:/+", "/", unquote(path))
+
+
+def _missing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files that are gone; a look at the directory each, no job."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = [(p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    return [p for p, place in found if not place.getFileSystem(conf).exists(place)]
+
+
+def row_counts(frame: DataFrame, *, decoded: bool) -> DataFrame:
+    """(path, promised, read) by file: rows as the file's footer has them, or rows of which every cell was decoded."""
+    path = F.col("_metadata.file_path").alias("path")
+    if not decoded:
+        return frame.select(path).groupBy("path").agg(F.count("*").alias("promised"), F.lit(0).cast("long").alias("read"))
+    odd = frame.select(path, (F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns]) % 2 != 0).alias("odd"))
+    # Counted in two parts: the optimizer would turn a count of all into one that needs no cell.
+    read = F.count_if("odd") + F.count_if(~F.col("odd"))
+    return odd.groupBy("path").agg(F.lit(0).cast("long").alias("promised"), read.alias("read"))
+
+
 def unreadable(spark: SparkSession, paths: list[str], **read_options) -> dict[str, str]:
-    """Files that cannot be read, with the reason; found by reading each on its own, which only a failed batch does."""
+    """Files that cannot be read, with the reason; only a failed batch asks.
+
+    The number of jobs does not depend on the number of files. All columnar files are read at once, corrupt ones skipped, and
+    the rows that came of each are held against the rows its footer promises; a delimited file is text that cannot be
+    corrupt, only gone, or broken by a strict ``mode``. Files of which nothing came are probed together for the marks of
+    their format, which an empty table has too.
+    """
+    found = dict.fromkeys(_missing(spark, paths), "the file is gone")
+    there = [p for p in paths if p not in found]
+    columnar = [p for p in there if p.lower().endswith(".parquet")]
+    if columnar:
+        found |= _unreadable_columnar(spark, columnar)
+    delimited = [p for p in there if p not in columnar]
+    if delimited and read_options.get("mode", "PERMISSIVE") != "PERMISSIVE":
+        rows = read_delimited(spark, delimited, **{**read_options, "mode": "PERMISSIVE"})
+        # With a cell beside it: Spark refuses queries on the text alone.
+        row = F.struct(F.col(SOURCE_TEXT).alias("text"), *[c for c in rows.columns if c not in SOURCE][:1])
+        broken = rows.filter(F.col(SOURCE_TEXT).isNotNull()).groupBy(SOURCE_PATH).agg(F.min(row).alias("row"))
+        texts = {_plain(r[SOURCE_PATH]): r["row"]["text"] for r in broken.collect()}
+        found |= {p: f"a row does not fit its header: {texts[_plain(p)]}"[:REASON_LENGTH] for p in delimited if _plain(p) in texts}
+    return found
+
+
+def _unreadable_columnar(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    lenient = spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True)
+    try:
+        frame = lenient.parquet(*paths)
+        both = row_counts(frame, decoded=False).unionByName(row_counts(frame, decoded=True))
+        counts = both.groupBy("path").agg(F.sum("promised").alias("promised"), F.sum("read").alias("read"))
+        # One short row for each file of the batch.
+        seen = {_plain(r["path"]): (r["promised"], r["read"]) for r in counts.collect()}
+    except Exception as error:  # noqa: BLE001  an analysis error or the JVM's own, by version
+        if "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            # The files contradict each other; none of them is at fault by itself.
+            return {}
+        seen = {}
     found = {}
     for path in paths:
-        try:
-            read_files(spark, [path], **read_options).write.format("noop").mode("overwrite").save()
-        except Exception as error:  # noqa: BLE001  whatever a reader raises is the reason
-            found[path] = str(error)[:REASON_LENGTH]
+        promised, read = seen.get(_plain(path), (0, 0))
+        if read < promised:
+            found[path] = f"{read} of {promised} rows can be read"
+    silent = [p for p in paths if _plain(p) not in seen]
+    if silent:
+        content = F.col("content")
+        size = F.octet_length(content)
+        marked = (F.substring(content, 1, 4) == F.lit(_MARK)) & (F.substring(content, -4, 4) == F.lit(_MARK)) & (size >= 12)
+        probes = spark.read.format("binaryFile").load(silent).select("path", F.coalesce(marked, F.lit(False)).alias("marked"))
+        whole = {_plain(r["path"]) for r in probes.collect() if r["marked"]}
+        found |= {p: "not a columnar file, or cut off" for p in silent if _plain(p) not in whole}
     return found
 
 
