@@ -95,6 +95,43 @@ def test_retire_partitions(spark, db):
     tables.append_table(_days(spark, (9, "2020-01-01")), name)
     tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
     assert sorted(r[0] for r in _rows(spark, archive, "n")) == [1, 2, 9]
+    # So does one that equals a row of the archive: it is a row of its own.
+    tables.append_table(_days(spark, (9, "2020-01-01"), (9, "2020-01-01")), name)
+    tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
+    assert sorted(r[0] for r in _rows(spark, archive, "n")) == [1, 2, 9, 9, 9]
+    assert [r[0] for r in _rows(spark, name, "n")] == [3, 4]
+
+
+def test_retiring_moves_files_and_survives_a_stop(spark, db, monkeypatch):
+    name, archive = f"{db}_gold.t", f"{db}_gold.old"
+    for t in (name, archive):
+        tables.create_table(spark, t, "n int, day date", ("day",))
+    tables.append_table(_days(spark, *[(k, f"2020-01-0{k % 3 + 1}") for k in range(30)], (99, "2025-06-01")), name)
+    files = {f.rsplit("/", 1)[1] for f in spark.table(name).inputFiles() if "2020" in f}
+    moved = []
+
+    def stopping(session, source, target, move=tables._move_files):
+        if len(moved) == 2:
+            raise RuntimeError("stopped")
+        moved.append(source)
+        move(session, source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_move_files", stopping)
+        with pytest.raises(RuntimeError):
+            tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
+    tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
+    assert [r[0] for r in _rows(spark, name, "n")] == [99]
+    assert sorted(r[0] for r in _rows(spark, archive, "n")) == list(range(30))
+    assert {f.rsplit("/", 1)[1] for f in spark.table(archive).inputFiles()} == files
+
+
+def test_retiring_needs_tables_of_one_shape(spark, db):
+    name, archive = f"{db}_gold.t", f"{db}_gold.old"
+    tables.create_table(spark, name, "n int, day date", ("day",))
+    tables.create_table(spark, archive, "n bigint, day date", ("day",))
+    with pytest.raises(ValueError, match="must have"):
+        tables.retire_partitions(spark, name, archive, "day", "2026-01-01")
 
 
 def test_inventory(spark, db):
