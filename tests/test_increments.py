@@ -171,3 +171,24 @@ def test_a_month_is_updated_from_the_state_of_its_changed_days(spark):
     expected = Counter(map(tuple, marts.usage_monthly(usage.usage_daily(both)).select(*columns).collect()))
     stored = spark.table("state_gold.client_partner_traffic_monthly")
     assert Counter(map(tuple, stored.select(*columns).collect())) == expected
+
+
+def test_alerts_from_stored_counts_are_those_of_a_scan(spark, request):
+    from tierline.operators import counts, quality
+
+    name = "counted_silver.event_counts"
+    spark.sql("CREATE DATABASE IF NOT EXISTS counted_silver")
+    counts.create_counts(spark, name)
+    rows = [(f"2026-01-{1 + k % 20:02d} 0{k % 9}:00:00", "ab"[k % 2] if k % 20 != 5 else "a") for k in range(300)]
+    rows += [(None, "a"), ("2026-01-15 10:00:00", None)] + [("2026-01-12 11:00:00", "b")] * 40
+    events = spark.createDataFrame(rows, "at string, kind string").withColumn("at", F.col("at").cast("timestamp"))
+    batch = F.pmod(F.xxhash64("at", "kind"), F.lit(3))
+    for b, part in (("0", batch == 0), ("1", F.col("kind") == "a"), ("2", batch == 2), ("1", batch == 1)):
+        counts.update_counts(spark, name, events.filter(part), b, "at", "kind", compact_at=2)
+    stored = counts.stored_counts(spark, name)
+    assert stored.agg(F.sum("row_count")).first()[0] == events.count()
+    for run_at in ("2026-01-20 12:00:00", "2026-02-20 12:00:00"):
+        found = counts.alerts(stored, ["a", "b", "c"], run_at)
+        expected = quality.completeness_alerts(events, "at", "kind", ["a", "b", "c"], run_at)
+        assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+    assert all(len(h.generations) + len(h.batches) <= 2 for h in increments.held(spark, name).values())

@@ -705,6 +705,24 @@ def sql() -> dict[str, str]:
         ),
         "usage_fact": s("SELECT * FROM fact", "fact"),
         "gold_daily": s("SELECT * FROM daily", "daily"),
+        "stored_alerts": _alerts(),
+        "catalog_round_trip": (
+            "SELECT 'rows' AS kind, o_orderstatus AS name, count(*)::varchar || ' ' || "
+            "sum(o_totalprice::decimal(18,2))::varchar || ' 2026-07-01' AS value FROM orders GROUP BY o_orderstatus "
+            "UNION ALL VALUES ('exists', 'orders_raw', 'false'), ('exists', 'orders', 'true'), ('table', 'silver.orders', NULL), "
+            "('missing', 'o_totalprice', NULL), ('extra', 'settled_on', NULL), ('extra', 'gross', NULL), "
+            "('extra', 'created_at', NULL), ('extra', 'updated_at', NULL)"
+        ),
+        "quarantine_round_trip": s(
+            "SELECT 'usage' AS origin, '2026-07-01' AS day, service_type_id AS kind, count(*) AS row_count, "
+            f"count(duration) AS filled, max(duration) AS last FROM cleaned WHERE {_BAD} GROUP BY service_type_id "
+            "UNION ALL SELECT 'settlement', NULL, event_type, count(*), count(row_id), max(row_id) FROM settlement "
+            f"WHERE {_BLANK_PMN} GROUP BY event_type",
+            "cleaned", "settlement",
+        ),
+        "multi_line_rows": (
+            "SELECT p_partkey, '\"' || p_brand || '\";' || chr(10) || p_type || chr(10) || chr(10) || p_size::varchar AS note, p_name FROM part"
+        ),
         "usage_reload": s(_MONTHLY + "FROM daily_kept GROUP BY " + ", ".join(USAGE_MONTHLY_GRAIN), "daily_kept"),
         "gold_monthly": s(_MONTHLY + "FROM daily GROUP BY " + ", ".join(USAGE_MONTHLY_GRAIN), "daily"),
         "forecast_fact": s("SELECT * FROM ffact", "ffact"),

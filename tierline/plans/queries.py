@@ -19,12 +19,13 @@ from tierline.model import (
     table_spec,
 )
 from tierline.operators import dimensions as dims
-from tierline.operators import facts, marts, quality, reports, rows, shape, tables
+from tierline.operators import counts, facts, marts, quality, reports, rows, shape, tables
 from tierline.plans import forecast, settlement, usage
 from tierline.plans.usage import clean_usage, split_usage, usage_bronze
 from tierline.scratch import scratch_path, staged, stored
 from tierline.sources import derived
 from tierline.sources.files import SOURCE_PATH, detect_layouts, discover_files, read_delimited, read_files, tenant_of
+from tierline.sources.tables import list_tables, read_table
 from tierline.streaming.landing import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -716,6 +717,22 @@ def alerts(spark, folder):
     return quality.completeness_alerts(events, "ts", "event_type", [*kinds, "refund"], _half_day_after(events))
 
 
+@query
+def stored_alerts(spark, folder):
+    """The same alerts from stored counts, after three batches of which one was first counted with fewer rows."""
+    events = _events(spark, folder)
+    tenant = _own_tenant("counts")
+    tables.create_schemas(spark, tenant)
+    name = f"{tenant}_silver.event_counts"
+    counts.create_counts(spark, name)
+    third = F.pmod("user_id", F.lit(3))
+    for batch, part in (("0", third == 0), ("1", (third == 1) & (F.col("value") > 50)), ("2", third == 2), ("1", third == 1)):
+        counts.update_counts(spark, name, events.filter(part), batch, "ts", "event_type", compact_at=2)
+    stored = counts.stored_counts(spark, name)
+    kinds = [r[0] for r in stored.select("category").distinct().orderBy("category").collect()]
+    return counts.alerts(stored, [*kinds, "refund"], _half_day_after(events))
+
+
 @query
 def forecast_alerts(spark, folder):
     """Months, from first to last, without rows of an indicator; budgets (B) are due as well."""
@@ -746,6 +763,74 @@ def retired_rows(spark, folder):
     return old.groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("row_count"))
 
 
+@query
+def catalog_round_trip(spark, folder):
+    """Orders in a table that was renamed, widened and moved between layers: what is listed, its columns, and its rows."""
+    tenant = _own_tenant("catalog")
+    tables.create_schemas(spark, tenant)
+    bronze, silver = f"{tenant}_bronze.orders_raw", f"{tenant}_silver.orders"
+    ddl = "o_orderkey bigint, o_totalprice double, o_orderpriority string, o_orderstatus string"
+    for name in (bronze, f"{tenant}_gold.unused"):
+        tables.create_table(spark, name, ddl, ("o_orderstatus",))
+    tables.append_table(derived.table(spark, folder, "orders"), bronze)
+    tables.add_column(spark, bronze, "settled_on", "date")
+    tables.rename_column(spark, bronze, "o_totalprice", "gross")
+    tables.update_column_type(spark, bronze, "gross", "decimal(18,2)")
+    tables.drop_column(spark, bronze, "o_orderpriority")
+    tables.rename_table(spark, bronze, f"{tenant}_bronze.orders_kept")
+    tables.rename_table(spark, f"{tenant}_bronze.orders_kept", silver)
+    tables.drop_table(spark, f"{tenant}_gold.unused")
+    stored = shape.stamp(read_table(spark, tenant, "silver", "orders"), RUN_AT)
+    layer = F.element_at(F.split("table_schema", "_"), -1)
+    listed = list_tables(spark, tenant).select(F.lit("table").alias("kind"), F.concat_ws(".", layer, "table_name").alias("name"))
+    known = [(n, str(spark.catalog.tableExists(n)).lower()) for n in (bronze, silver)]
+    exists = spark.createDataFrame(known, "name string, value string").select(
+        F.lit("exists").alias("kind"), F.element_at(F.split("name", "[.]"), -1).alias("name"), "value"
+    )
+    differing = shape.missing_and_extra(stored, ["o_orderkey", "o_totalprice", "o_orderstatus"])
+    columns = differing.select("problem", "column_name").toDF("kind", "name")
+    by_status = stored.groupBy("o_orderstatus", "updated_at").agg(F.count("*").alias("n"), F.sum("gross").alias("gross"))
+    held = by_status.select(
+        F.lit("rows").alias("kind"), F.col("o_orderstatus").alias("name"),
+        F.concat_ws(" ", F.col("n").cast("string"), F.col("gross").cast("string"), F.date_format("updated_at", "yyyy-MM-dd")).alias("value"),
+    )
+    return held.unionByName(exists).unionByName(listed, allowMissingColumns=True).unionByName(columns, allowMissingColumns=True)
+
+
+@query
+def quarantine_round_trip(spark, folder):
+    """Rejected usage records as read back from both forms of quarantine, and settlement records from theirs."""
+    path, tenant = F.col(SOURCE_PATH), F.lit("north")
+    raw = _pathed(_usage_raw(spark, folder), "Bronze/Traffic")
+    rejected = split_usage(clean_usage(raw))[1]
+    rejected = shape.add_audit_columns(rejected, path, tenant=tenant, layer="bronze", domain="traffic", ingested_at=RUN_AT)
+    columnar, delimited = scratch_path(spark, "quarantine"), scratch_path(spark, "quarantine")
+    for _ in range(2):  # a repeat replaces the day
+        tables.quarantine_parquet(rejected, columnar)
+    _, unfit = settlement.split_settlement(_settlement(spark, folder))
+    tables.quarantine_csv(unfit, delimited)
+    usage_back = spark.read.parquet(columnar).select("_ingest_date", F.col("service_type_id").alias("kind"), "duration")
+    back = spark.read.options(header=True, escape='"').csv(delimited)
+    settled_back = back.select(F.lit(None).cast("date").alias("_ingest_date"), F.col("event_type").alias("kind"), F.col("row_id").alias("duration"))
+    both = usage_back.withColumn("origin", F.lit("usage")).unionByName(settled_back.withColumn("origin", F.lit("settlement")))
+    return both.groupBy("origin", F.col("_ingest_date").cast("string").alias("day"), "kind").agg(
+        F.count("*").alias("row_count"), F.count("duration").alias("filled"), F.max("duration").alias("last")
+    )
+
+
+@query
+def multi_line_rows(spark, folder):
+    """Part descriptions over several lines, with quotes and delimiters in them, written and read back."""
+    part = derived.table(spark, folder, "part")
+    note = F.concat(F.lit('"'), "p_brand", F.lit('";\n'), "p_type", F.lit("\n\n"), F.col("p_size").cast("string"))
+    root = scratch_path(spark, "notes")
+    part.select("p_partkey", note.alias("note"), "p_name").write.options(
+        header=True, sep=";", escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(root)
+    landed = read_delimited(spark, _files_under(spark, root), multi_line=True)
+    return landed.select(F.col("p_partkey").cast("long"), "note", "p_name")
+
+
 @query
 def blank_keys(spark, folder):
     """Rows whose partner is blank or absent, as the required-value rule sees them."""
