@@ -398,13 +398,15 @@ def repeats(docs: DataFrame, size: int = SIZE, tables: Tables | None = None, cro
     single = rows.join(copies.select("row_hash").union(twice), "row_hash", "left_anti").union(
         rows.join(twice, "row_hash", "left_semi").dropDuplicates(["row_hash"])
     )
-    listed = _listed(single, size).repartition("key")
-    # The reads of a key in two places or more; one exchange serves the count and the look-up.
+    # Written, so that texts are listed once for the count and the look-up.
+    listed = tables.write(_listed(single, size), "listed")
+    # The reads of a key in two places or more.
     hits = F.shiftright("span", 8).bitwiseAND(255)
     counted = listed.groupBy("key").agg(F.sum(hits).alias("hits"), F.count("*").alias("reads")).filter("hits > 1")
     wanted = tables.write(
         listed.join(counted, "key").groupBy("row_hash").agg(F.collect_list(F.struct("key", "span", "reads")).alias("listed")), "wanted"
     )
+    tables.drop(listed)
     members = _packed(single).join(wanted, "row_hash")
     few = F.filter("listed", lambda x: x["reads"] <= crowded)
     runs = _searched(_cut(members.withColumn("listed", few), size), size)
