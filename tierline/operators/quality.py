@@ -286,7 +286,7 @@ def issue_counts(issues: DataFrame) -> DataFrame:
 def missing_required_rows(df: DataFrame, row_id: str, column: str, n: int = 10) -> DataFrame:
     """The first ``n`` rows without the required value."""
     missing = df.filter(is_blank(F.col(column)))
-    return missing.select(row_id, F.lit(f"{column} is missing/empty").alias("reason")).orderBy(row_id).limit(n)
+    return missing.select(row_id, F.lit(f"no value for {column}").alias("reason")).orderBy(row_id).limit(n)
 
 
 def repair_stats(df: DataFrame, decimals: Sequence[str]) -> DataFrame:

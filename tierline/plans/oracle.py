@@ -864,7 +864,7 @@ def sql() -> dict[str, str]:
             "settlement",
         ),
         "missing_required": s(
-            "SELECT row_id, 'home_pmn is missing/empty' AS reason FROM settlement "
+            "SELECT row_id, 'no value for home_pmn' AS reason FROM settlement "
             "WHERE trim(coalesce(home_pmn, '')) = '' ORDER BY row_id LIMIT 10",
             "settlement",
         ),
