@@ -33,13 +33,12 @@ UNITS = (
     "gbp mph kmh percent degree degrees c f k w kw v a hz khz mhz ghz kb mb gb tb"
 ).split()
 
-#: The low bits of a template's hash count its placeholders; windows are shorter than this.
-COUNT = 255
-
 
 def _clean(text: Column) -> Column:
     """Words parted by one space; of the punctuation only points and commas inside numbers remain."""
-    return F.trim(F.regexp_replace(text, r"(?:[^\p{L}\p{M}\p{N}.,]|(?<![0-9])[.,]|[.,](?![0-9]))++", " "))
+    parting = r"[^a-zA-Z0-9\p{L}\p{M}\p{N}](?:(?<![.,])|(?<![0-9].)|(?![0-9]))"
+    more = r"(?:[^a-zA-Z0-9.,\p{L}\p{M}\p{N}]|[.,](?![0-9])|(?<![0-9])[.,])*+"
+    return F.trim(F.regexp_replace(text, parting + more, " "))
 
 
 def _template(clean: Column) -> Column:
@@ -55,6 +54,10 @@ def _split(column: Column) -> Column:
     return F.when(column != "", F.split(column, " ", -1)).otherwise(F.array().cast("array<string>"))
 
 
+def _placeholder(token: Column) -> Column:
+    return token.rlike(f"[{NUMBER}{NAME}{UNIT}]")
+
+
 def _worded(df: DataFrame, text: Column) -> DataFrame:
     """``df`` with ``words``, lower-cased; ``tokens``, the template with runs of names as one; ``places``, their words."""
     return (
@@ -67,31 +70,20 @@ def _worded(df: DataFrame, text: Column) -> DataFrame:
     )
 
 
-def _join_plain(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
-
-
-def _join_template(a: Column, b: Column) -> Column:
-    held = a.bitwiseAND(F.lit(COUNT)) + b.bitwiseAND(F.lit(COUNT))
-    return F.xxhash64(a, b).bitwiseAND(F.lit(~COUNT)).bitwiseOR(held.cast("long"))
-
-
 def _hashed(df: DataFrame, sizes: list[int]) -> DataFrame:
     """``df`` with ``plain<size>`` and ``template<size>``: a hash for every window of ``words`` and of ``tokens``.
 
     Windows are made from windows of half the size, so a word costs a few hashes of two numbers whatever the size.
-    The low bits of a template's hash are the number of its placeholders.
     """
-    placeholder = lambda w: w.rlike(f"[{NUMBER}{NAME}{UNIT}]").cast("long")
-    one = lambda w: F.xxhash64(w).bitwiseAND(F.lit(~COUNT)).bitwiseOR(placeholder(w))
-    df = df.withColumn("plain1", F.transform("words", lambda w: F.xxhash64(w))).withColumn("template1", F.transform("tokens", one))
+    df = df.withColumn("plain1", F.transform("words", lambda w: F.xxhash64(w)))
+    df = df.withColumn("template1", F.transform("tokens", lambda w: F.xxhash64(w)))
     powers = [1 << k for k in range(max(sizes).bit_length())]
-    for name, join in (("plain", _join_plain), ("template", _join_template)):
 
-        def joined(first: str, second: str, held: int, join=join) -> Column:
-            n = F.greatest(F.size(second) - held, F.lit(0))
-            return F.zip_with(F.slice(first, 1, n), F.slice(second, held + 1, n), join)
+    def joined(first: str, second: str, held: int) -> Column:
+        n = F.greatest(F.size(second) - held, F.lit(0))
+        return F.zip_with(F.slice(first, 1, n), F.slice(second, held + 1, n), lambda a, b: F.xxhash64(a, b))
 
+    for name in ("plain", "template"):
         for half, whole in zip(powers, powers[1:], strict=False):
             df = df.withColumn(f"{name}{whole}", joined(f"{name}{half}", f"{name}{half}", half))
         for size in sizes:
@@ -105,11 +97,7 @@ def _hashed(df: DataFrame, sizes: list[int]) -> DataFrame:
 
 def _windows(df: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
     """(keys, of, plain, no, at, h): windows of ``of`` words (``plain``) or tokens; ``no`` counts words or tokens, ``at`` is
-    the word where it starts.
-
-    Template windows without placeholders are left out, since their words are a plain window, and so are those with
-    fewer literal words than one in ``LITERAL``.
-    """
+    the word where it starts."""
 
     def zipped(size: int) -> Column:
         return F.arrays_zip(
@@ -123,9 +111,7 @@ def _windows(df: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
     else:
         every = F.array(*[F.struct(F.lit(s).alias("of"), zipped(s).alias("zipped")) for s in sizes])
         placed = hashed.select(*keys, F.inline(every)).select(*keys, "of", F.posexplode("zipped").alias("no", "w"))
-    held = F.col("w.t").bitwiseAND(F.lit(COUNT))
-    literal = F.floor((F.col("of") + LITERAL - 1) / LITERAL)
-    both = F.when((held > 0) & (held <= F.col("of") - literal), F.array("w.p", "w.t")).otherwise(F.array("w.p"))
+    both = F.array("w.p", "w.t")
     found = placed.select(*keys, "of", "no", F.col("w.at").alias("place"), F.posexplode(both).alias("kind", "h"))
     plain = F.col("kind") == 0
     return found.filter("h IS NOT NULL").select(
@@ -144,14 +130,20 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
 
 def item_windows(items: DataFrame, sizes: list[int]) -> DataFrame:
     """(item, item_id, n, size, token_size, plain, no, first, last, h): an item shorter than a window is one window of its
-    own size. ``first`` to ``last`` are the starts of the windows of ``size`` words that a window covers."""
-    keys = ["item", "item_id", "n", "size", "token_size", "places"]
+    own size. ``first`` to ``last`` are the starts of the windows of ``size`` words that a window covers.
+
+    Template windows without placeholders are left out, since their words are a plain window, and so are those with
+    fewer literal words than one in ``LITERAL``; windows of documents then meet neither.
+    """
+    keys = ["item", "item_id", "n", "size", "token_size", "places", "tokens"]
     found = _windows(items.withColumn("n", F.size("words")), keys, sizes)
     own = F.when(F.col("plain"), F.col("size")).otherwise(F.col("token_size"))
     behind = F.coalesce(F.get("places", F.col("no") + F.col("token_size")), F.col("n"))
     last = F.when(F.col("plain"), F.col("at")).otherwise(behind - F.col("size"))
-    return found.filter(F.col("of") == own).select(
-        *keys[:-1], "plain", "no", F.col("at").alias("first"), last.alias("last"), "h"
+    held = F.size(F.filter(F.slice("tokens", F.col("no") + 1, F.col("of")), _placeholder))
+    told = (held > 0) & (held <= F.col("of") - F.floor((F.col("of") + LITERAL - 1) / LITERAL))
+    return found.filter((F.col("of") == own) & (F.col("plain") | told)).select(
+        *keys[:-2], "plain", "no", F.col("at").alias("first"), last.alias("last"), "h"
     )
 
 
@@ -198,7 +190,7 @@ def _clashes(templates: DataFrame, docs: DataFrame, items: DataFrame) -> DataFra
         return F.xxhash64(F.slice(words, start + 1, end - start))
 
     under = F.array_distinct(F.flatten(F.transform("found", lambda f: F.sequence(f["no"], f["no"] + F.col("token_size") - 1))))
-    held = F.filter(under, lambda p: F.get("tokens", p).rlike(f"[{NUMBER}{NAME}{UNIT}]"))
+    held = F.filter(under, lambda p: _placeholder(F.get("tokens", p)))
     slot = lambda p: F.struct(
         p.alias("p"), F.get("tokens", p).alias("type"), behind("words", "places", p).alias("a"),
         behind("doc_words", "doc_places", p + F.col("diagonal")).alias("b"),
@@ -223,7 +215,7 @@ def contaminated(
 
     NULL and wordless texts and items match nothing. Items equal in id and text count once, items of one id and other texts
     as one each; rows equal in every column count as one document. Other columns only tell rows apart. No documents or
-    no items give no rows. ``window`` is 255 at most.
+    no items give no rows.
     """
     tables = tables or Tables(docs.sparkSession)
     items = tables.write(_items(benchmark, window), "items")
