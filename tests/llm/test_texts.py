@@ -59,14 +59,32 @@ def test_sentences_are_removed_where_a_run_stood_before(documents, awkward):
     run = "One two three four five six seven. Eight nine ten eleven twelve thirteen. And some more words here."
     docs = documents([f"Start of one. {run} End of one.", f"Other words. {run}\nOwn end.", run, "One two three four five six seven. Alone.", None, ""])
     found = {(r["doc_id"], r["first_sentence"], r["n_sentences"]) for r in sentences.repeated_sentences(docs).collect()}
-    # The run's last sentence alone is too short for a run with what follows it.
-    assert found == {(1, 1, 2), (2, 0, 2)}
+    assert found == {(1, 1, 3), (2, 0, 3)}
     kept = {r["doc_id"]: r["text"] for r in sentences.drop_repeated_sentences(docs).collect()}
-    assert kept[1] == "Other words. And some more words here.\nOwn end." and kept[2] == "And some more words here." and kept[0].endswith("End of one.") and kept[4] is None
+    assert kept[1] == "Other words. Own end." and kept[2] == "" and kept[0].endswith("End of one.") and kept[4] is None
     assert sentences.drop_repeated_sentences(awkward).columns == awkward.columns
     assert sentences.repeated_sentences(awkward.limit(0)).count() == 0
 
 
+def test_repeated_sentences_equal_every_run(documents):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) + rng.choice(".!?") for _ in range(12)]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for _ in range(60)] + ["Short one.", "Short one."]
+    seen, gone = set(), set()
+    for d, text in enumerate(texts):
+        parts = re.split(r"(?<=[.!?]) ", text)
+        n = len(parts)
+        every = [(i, j) for i in range(n) for j in range(i + 2, n + 1) if len(" ".join(parts[i:j]).split()) >= 12] or [(0, n)]
+        for i, j in every:
+            run = tuple(parts[i:j])
+            if run in seen:
+                gone |= {(d, k) for k in range(i, j)}
+            seen.add(run)
+    found = sentences.repeated_sentences(documents(texts)).collect()
+    assert {(r["doc_id"], k) for r in found for k in range(r["first_sentence"], r["first_sentence"] + r["n_sentences"])} == gone
+    assert gone and (61, 0) in gone
+
+
 def brute_repeats(texts, size):
     seen, out = set(), []
     for text in texts:
@@ -162,6 +180,19 @@ def test_edited_partial_and_recased_items_are_found(spark, documents):
     assert found[0]["verbatim"] and found[3]["verbatim"]
 
 
+def test_tables_of_numbers_and_lists_of_names_match_by_words_only(spark, documents):
+    numbers = lambda n, first: " ".join(str(first + 7 * k) for k in range(n))
+    names = "Anna Ben Carl Dora Emil Fred Gina Hans Ida Jan Kurt Lea"
+    story = "If Anna sells 12 red hats and 5 blue hats to her aunt then how many of the 17 hats are left with Anna at night?"
+    benchmark = spark.createDataFrame([(1, numbers(30, 5)), (2, names), (3, "na " * 30), (4, story)], "item_id long, text string")
+    texts = [
+        numbers(60, 100_003), numbers(1000, 200_004), f"x {numbers(30, 5)} y", "Zoe Max Tom Tim Kim Jim Sam Pam Ron Don Lon Mon " * 50,
+        f"by {names.lower()} too", "na " * 20_000, story.replace("Anna", "Mary Ann").replace("17", "19"),
+    ]
+    found = {(r["doc_id"], r["item_id"], r["verbatim"]) for r in decontamination.contaminated(documents(texts), benchmark).collect()}
+    assert found == {(2, 1, True), (4, 2, True), (5, 3, True), (6, 4, False)}
+
+
 def least_capacity(sizes, count):
     def parts(capacity):
         n, used = 1, 0

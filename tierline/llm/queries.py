@@ -191,10 +191,18 @@ WITH cut AS (
   SELECT doc_id, s, i, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS n FROM sentences
 ), summed AS (
   SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS until FROM counted
+), bounds AS (
+  SELECT *, until - n AS before, until - n + 12 AS needed, until - 12 AS most FROM summed
+), spans AS (
+  SELECT b.doc_id, b.s, b.i, greatest(e.i, b.i + 1) AS j
+  FROM bounds b ASOF JOIN bounds e ON b.doc_id = e.doc_id AND b.needed <= e.until WHERE b.i + 1 <= len(b.s)
+  UNION
+  SELECT e.doc_id, e.s, least(b.i, e.i - 1), e.i
+  FROM bounds e ASOF JOIN bounds b ON b.doc_id = e.doc_id AND e.most >= b.before WHERE e.i > 1
+  UNION
+  SELECT doc_id, s, 1, len(s) FROM summed WHERE i = len(s) AND (until < 12 OR len(s) < 2)
 ), runs AS (
-  SELECT b.doc_id, b.i, greatest(e.i, b.i + 1) AS j, array_to_string(b.s[b.i:greatest(e.i, b.i + 1)], chr(10)) AS run
-  FROM (SELECT *, until - n + 12 AS needed FROM summed) b
-  ASOF JOIN summed e ON b.doc_id = e.doc_id AND b.needed <= e.until WHERE b.i + 1 <= len(b.s)
+  SELECT doc_id, i, j, array_to_string(s[i:j], chr(10)) AS run FROM spans
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS occurrence FROM runs
 ), gone AS (

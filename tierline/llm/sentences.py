@@ -13,12 +13,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import Tables, map_rows, row_hash
+from tierline.llm.common import WORD, Tables, map_rows, row_hash
 
 #: Sentences of a run, at least, and words it has at least: a run goes on until it has both.
 RUN_SENTENCES, RUN_WORDS = 2, 12
 #: A sentence ends at a line feed, or at a point, exclamation or question mark with white space behind it.
 _END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
+_WORDS = re.compile(WORD)
 _BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -41,12 +42,11 @@ def cut(text: str | None) -> list[tuple[int, int]]:
     return trimmed
 
 
-def runs(sentences: list[str], least: int, words: int) -> list[tuple[int, int]]:
+def _ahead(counts: list[int], least: int, words: int) -> list[tuple[int, int]]:
     """For every sentence, the shortest run from it on with enough sentences and words: (first, sentences)."""
-    counts = [len(s.split()) for s in sentences]
     out, end, held = [], 0, 0
-    for i in range(len(sentences)):
-        while end < len(sentences) and (end - i < least or held < words):
+    for i in range(len(counts)):
+        while end < len(counts) and (end - i < least or held < words):
             held += counts[end]
             end += 1
         if end - i < least or held < words:
@@ -56,6 +56,18 @@ def runs(sentences: list[str], least: int, words: int) -> list[tuple[int, int]]:
     return out
 
 
+def runs(sentences: list[str], least: int, words: int) -> list[tuple[int, int]]:
+    """The shortest run from every sentence on and up to every sentence: (first, sentences).
+
+    They cover whatever longer runs cover: of a longer run, the shortest ones from its sentences on lie inside, but for its
+    last sentences, and the shortest one up to its end holds those. Too short a text is one run.
+    """
+    counts = [len(_WORDS.findall(s)) for s in sentences]
+    back = {(len(counts) - i - n, n) for i, n in _ahead(counts[::-1], least, words)}
+    found = back.union(_ahead(counts, least, words))
+    return sorted(found) or [(0, len(counts))] * (len(counts) > 0)
+
+
 def _hashed(docs: DataFrame, least: int, words: int) -> DataFrame:
     """(a, b, row_hash, doc_id, first, count) for every run; a and b are its 128-bit hash."""
 
@@ -86,8 +98,8 @@ def repeated_sentences(docs: DataFrame, least: int = RUN_SENTENCES, words: int =
     """(row_hash, doc_id, first_sentence, n_sentences): stretches of sentences to remove, apart from each other.
 
     A run that also stands earlier (by doc_id, NULL last, then row hash, then sentence) is repeated, also within one
-    document; its sentences go, the first occurrence stays. Sentences are numbered from 0. NULL and empty texts, and texts of
-    fewer sentences or words than a run has, repeat nothing. Rows equal in every column count as one document; other
+    document; its sentences go, the first occurrence stays. Sentences are numbered from 0. NULL and blank texts repeat nothing;
+    a text of fewer sentences or words than a run has is compared whole, with others as short. Rows equal in every column count as one document; other
     columns only tell rows apart. No rows give no rows.
     """
     tables = tables or Tables(docs.sparkSession)
