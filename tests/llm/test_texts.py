@@ -33,6 +33,16 @@ def test_language_awkward_rows(spark, awkward):
     assert language.choose({"b": 5, "a": 5}, 0.01) == ("a", 0.5, True)
 
 
+def test_language_sample_is_the_least_hashes_of_each_language(spark):
+    texts = [prose(k % 700, 12) for k in range(900)]
+    labelled = spark.createDataFrame([(t, ("en", "fr")[k % 5 == 0]) for k, t in enumerate(texts)], "text string, lang string")
+    by_hash = labelled.distinct().selectExpr("lang", "text", "xxhash64(text) as h").orderBy("h").collect()
+    model = language.fit(labelled, sample_texts=40)
+    for lang in ("en", "fr"):
+        least = [r["text"] for r in by_hash if r["lang"] == lang][:40]
+        assert model.by_language[lang] == language._plain(" ".join(least))
+
+
 def turns(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
@@ -80,8 +90,13 @@ def test_repeated_sentences_equal_every_run(documents):
             if run in seen:
                 gone |= {(d, k) for k in range(i, j)}
             seen.add(run)
-    found = sentences.repeated_sentences(documents(texts)).collect()
-    assert {(r["doc_id"], k) for r in found for k in range(r["first_sentence"], r["first_sentence"] + r["n_sentences"])} == gone
+    texts += [texts[0]] * 40
+    gone |= {(d, k) for d in range(62, 102) for k in range(len(re.split(r"(?<=[.!?]) ", texts[0])))}
+    for hot in (0, 30, sentences.HOT):  # no head, some and all are broadcast
+        found = sentences.repeated_sentences(documents(texts), hot=hot).collect()
+        assert {(r["doc_id"], k) for r in found for k in range(r["first_sentence"], r["first_sentence"] + r["n_sentences"])} == gone
+        places = sorted((r["doc_id"], r["first_sentence"], r["n_sentences"]) for r in found)
+        assert all(a[0] < b[0] or a[1] + a[2] < b[1] for a, b in zip(places, places[1:], strict=False))
     assert gone and (61, 0) in gone
 
 

@@ -17,6 +17,8 @@ from tierline.llm.common import WORD, Tables, map_rows, row_hash
 
 #: Sentences of a run, at least, and words it has at least: a run goes on until it has both.
 RUN_SENTENCES, RUN_WORDS = 2, 12
+#: Runs that hold over one in so many of all repeated ones are joined with their heads by broadcast: fewer than this many.
+HOT = 4096
 #: A sentence ends at a line feed, or at a point, exclamation or question mark with white space behind it.
 _END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
 _WORDS = re.compile(WORD)
@@ -94,7 +96,9 @@ def _hashed(docs: DataFrame, least: int, words: int) -> DataFrame:
     return map_rows(rows, make, "a long, b long, row_hash long, doc_id long, first int, count int")
 
 
-def repeated_sentences(docs: DataFrame, least: int = RUN_SENTENCES, words: int = RUN_WORDS, tables: Tables | None = None) -> DataFrame:
+def repeated_sentences(
+    docs: DataFrame, least: int = RUN_SENTENCES, words: int = RUN_WORDS, tables: Tables | None = None, hot: int = HOT
+) -> DataFrame:
     """(row_hash, doc_id, first_sentence, n_sentences): stretches of sentences to remove, apart from each other.
 
     A run that also stands earlier (by doc_id, NULL last, then row hash, then sentence) is repeated, also within one
@@ -106,20 +110,32 @@ def repeated_sentences(docs: DataFrame, least: int = RUN_SENTENCES, words: int =
     hashed = tables.write(_hashed(docs, least, words), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "first")
     heads = hashed.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("head")).filter("n > 1")
-    again = hashed.join(heads, ["a", "b"]).filter(place != F.col("head"))
-    gone = again.select(
-        "row_hash", "doc_id", F.explode(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("sentence")
-    ).distinct()
-    # Neighbouring sentences share the difference of number and rank.
-    rank = F.row_number().over(Window.partitionBy("row_hash", "doc_id").orderBy("sentence"))
+    heads = tables.write(heads, "heads")
+    again = _with_heads(hashed, heads, hot).filter(place != F.col("head"))
+    # Runs that overlap or touch are one stretch. A document's runs are at most twice its sentences.
+    end = F.col("first") + F.col("count")
+    by_place = Window.partitionBy("row_hash", "doc_id").orderBy("first")
+    reached = F.max(end).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    apart = again.withColumn("apart", F.coalesce((F.col("first") > reached).cast("int"), F.lit(0)))
     return (
-        gone.withColumn("island", F.col("sentence") - rank)
-        .groupBy("row_hash", "doc_id", "island")
-        .agg(F.min("sentence").alias("first_sentence"), F.count("*").alias("n_sentences"))
-        .drop("island")
+        apart.withColumn("stretch", F.sum("apart").over(by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy("row_hash", "doc_id", "stretch")
+        .agg(F.min("first").alias("first_sentence"), F.max(end).alias("end"))
+        .select("row_hash", "doc_id", "first_sentence", (F.col("end") - F.col("first_sentence")).cast("long").alias("n_sentences"))
     )
 
 
+def _with_heads(hashed: DataFrame, heads: DataFrame, hot: int) -> DataFrame:
+    """Repeated runs with their first occurrence. A run that fills a large share of the corpus is not shuffled: there are
+    fewer than ``hot`` of its kind, so their heads are broadcast."""
+    total = heads.agg(F.sum("n")).first()[0] or 0
+    large = F.col("n") * hot > total
+    columns = ["row_hash", "doc_id", "first", "count", "head"]
+    common = F.broadcast(heads.filter(large).select("a", "b", "head"))
+    rest = hashed.join(common.drop("head"), ["a", "b"], "left_anti").join(heads.filter(~large), ["a", "b"])
+    return hashed.join(common, ["a", "b"]).select(*columns).union(rest.select(*columns))
+
+
 def drop_repeated_sentences(docs: DataFrame, least: int = RUN_SENTENCES, words: int = RUN_WORDS) -> DataFrame:
     """``docs`` without repeated sentences; columns and their order stay, and so does every row.
 
