@@ -703,6 +703,17 @@ def sql() -> dict[str, str]:
             "SELECT * FROM dim_imsi WHERE imsi NOT IN (SELECT imsi FROM bronze WHERE event_type_id = 'F')",
             "dim_imsi",
         ),
+        "dim_upsert_stored": s(
+            "SELECT d.imsi_key, coalesce(k.label, d.imsi) AS imsi, "
+            "md5(lower(trim(coalesce(k.attribute, d.roamer_indicator)))) AS roamer_indicator_key, "
+            "coalesce(k.attribute, d.roamer_indicator) AS roamer_indicator, CASE WHEN k.norm IS NULL THEN 'inserted' "
+            "WHEN k.attribute IS NULL AND d.roamer_indicator IS NOT NULL THEN 'filled' ELSE 'kept' END AS outcome "
+            "FROM dim_imsi d LEFT JOIN (SELECT norm, label, CASE WHEN label NOT LIKE '%7' THEN attribute END AS attribute FROM ("
+            "SELECT lower(trim(imsi)) AS norm, imsi AS label, roamer_indicator AS attribute, row_number() OVER ("
+            "PARTITION BY lower(trim(imsi)) ORDER BY imsi, (roamer_indicator IS NULL), roamer_indicator) AS rn "
+            "FROM bronze WHERE imsi IS NOT NULL AND event_type_id = 'F') WHERE rn = 1) k ON md5(k.norm) = d.imsi_key",
+            "dim_imsi",
+        ),
         "usage_fact": s("SELECT * FROM fact", "fact"),
         "gold_daily": s("SELECT * FROM daily", "daily"),
         "stored_alerts": _alerts(),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions import blank_to_null, is_blank
 from tierline.model import (
+    DIMENSION_TABLES,
     SETTLEMENT_DDL,
     SETTLEMENT_REQUIRED_COLUMNS,
     USAGE_ALIASES,
@@ -19,7 +20,7 @@ from tierline.model import (
     table_spec,
 )
 from tierline.operators import dimensions as dims
-from tierline.operators import counts, facts, marts, quality, reports, rows, shape, tables
+from tierline.operators import counts, facts, marts, quality, reports, rows, shape, tables, upserts
 from tierline.plans import forecast, settlement, usage
 from tierline.plans.usage import clean_usage, split_usage, usage_bronze
 from tierline.scratch import scratch_path, staged, stored
@@ -419,6 +420,26 @@ def dim_upsert(spark, folder):
     return dims.new_members(dims.build_dimension(bronze, subscriber), existing, subscriber.key)
 
 
+@query
+def dim_upsert_stored(spark, folder):
+    """A bucketed subscriber table built from the finished orders, some profiles unknown, after all orders came in."""
+    tenant, subscriber = _own_tenant("upsert"), USAGE_DIMENSIONS["dim_imsi"]
+    spec = DIMENSION_TABLES[subscriber.table]
+    tables.create_schemas(spark, tenant)
+    name = tables.create_from_spec(spark, tenant, spec)
+    bronze = _bronze(spark, folder)
+    known = dims.dimension_members(bronze.filter(F.col("event_type_id") == "F"), subscriber)
+    unknown = F.col("label").like("%7")
+    known = known.withColumn("attribute", F.when(~unknown, F.col("attribute")))
+    loads = (dims.from_members(known, subscriber), dims.build_dimension(bronze, subscriber))
+    days = [f"2026-01-0{day} 00:00:00" for day in (1, 2)]
+    for members, day in zip(loads, days, strict=True):
+        upserts.upsert(members, name, subscriber.key, day)
+    last = F.lit(days[1]).cast("timestamp")
+    outcome = F.when(F.col("created_at") == last, "inserted").when(F.col("updated_at") == last, "filled").otherwise("kept")
+    return spark.table(name).withColumn("outcome", outcome).drop("created_at", "updated_at", upserts.BUCKET)
+
+
 # Facts and marts
 
 

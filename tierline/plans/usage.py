@@ -20,7 +20,7 @@ from tierline.model import (
     table_spec,
 )
 from tierline.operators import dimensions as dims
-from tierline.operators import facts, increments, marts, tables
+from tierline.operators import facts, increments, marts, tables, upserts
 from tierline.operators.rows import filter_empty_rows, split, type_reasons, type_violation
 from tierline.operators.shape import (
     add_audit_columns,
@@ -170,19 +170,9 @@ def update_dimensions(spark: SparkSession, tenant: str, batch_rows: DataFrame, l
 
 
 def _insert_new(spark: SparkSession, tenant: str, table: str, candidates: DataFrame, loaded_at: str) -> None:
-    """Append new members. Only if the batch fills an attribute that a stored member lacks is the table written anew."""
+    """Append new members and fill attributes that stored ones lack."""
     spec = DIMENSION_TABLES[table]
-    name, key = spec.full_name(tenant), spec.grain[0]
-    stored = spark.table(name)
-    candidates = staged(candidates, table)
-    fresh = stamp(dims.new_members(candidates, stored, key), loaded_at)
-    filled = dims.filled_members(candidates, stored, key, [c for c in candidates.columns if c != key])
-    if filled.isEmpty():
-        tables.append_table(fresh, name)
-        return
-    rest = stored.join(filled.select(key), key, "left_anti")
-    whole = rest.unionByName(filled).unionByName(fresh.select(*stored.columns))
-    tables.overwrite_partitions(staged(whole, table), name)
+    upserts.upsert(candidates, spec.full_name(tenant), spec.grain[0], loaded_at)
 
 
 def write_increment(spark: SparkSession, tenant: str, batch_rows: DataFrame, batch: str) -> tuple[list[str], list[str]]:
@@ -211,7 +201,7 @@ def update_fact(spark: SparkSession, tenant: str, batch: str, days: list[str], s
 
 
 def stored_dimensions(spark: SparkSession, tenant: str) -> Mapping[str, DataFrame]:
-    return {d: spark.table(DIMENSION_TABLES[d].full_name(tenant)) for d in USAGE_DIMENSIONS}
+    return {d: spark.table(DIMENSION_TABLES[d].full_name(tenant)).drop(upserts.BUCKET) for d in USAGE_DIMENSIONS}
 
 
 def update_gold(spark: SparkSession, tenant: str, days: list[str], loaded_at: str) -> None:
