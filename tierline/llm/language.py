@@ -19,8 +19,9 @@ from tierline.llm.common import map_rows
 UNDETERMINED = "und"
 #: The classifier is fitted on a bounded sample: texts per language, and code points taken of each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 512, 1024
-#: Parts in which a language's least hashes are sought before they are compared, so a common language is no single task.
-PARTS = 64
+#: A language's least hashes are sought in so many parts, then among the finds in fewer: a task of a later step gets
+#: ``sample_texts`` of sixteen parts at most, so a common language is no single large task.
+PARTS = (256, 16, 1)
 #: Compression level; bytes encoded at a time, so that the dictionary counts throughout a long text.
 LEVEL, BLOCK = 6, 4096
 #: Choices are rejected where the second best size is less than this share larger.
@@ -46,14 +47,14 @@ def fit(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_chars: int
 
     The sample are the texts of least hash, ``sample_chars`` code points from the middle of each. Rows
     without a language or without a letter teach nothing; no such rows give no dictionaries. Copies count once and are
-    merged before the shuffle. The hashes are chosen first, in two steps and without their texts, and their texts looked
+    merged before the shuffle. The hashes are chosen first, in steps and without their texts, and their texts looked
     up by a list of ``sample_texts`` hashes a language; only the sample reaches the driver.
     """
     start = F.greatest(F.floor((F.length("text") - sample_chars) / 2).cast("int") + 1, F.lit(1))
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashes = usable.select("lang", F.xxhash64("text").alias("h")).distinct()
-    for group in (["lang", F.pmod("h", F.lit(PARTS))], ["lang"]):
-        n = F.row_number().over(Window.partitionBy(*group).orderBy("h"))
+    for parts in PARTS:
+        n = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(parts))).orderBy("h"))
         hashes = hashes.withColumn("n", n).filter(F.col("n") <= sample_texts)
     texts = labelled.filter(F.col("lang").isNotNull()).select("lang", F.xxhash64("text").alias("h"), "text")
     sample = (
