@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import is_blank
+from tierline.functions.keys import spelled
 from tierline.operators.rows import is_empty_row
 
 # Date spellings a landed file may use.
@@ -70,8 +71,14 @@ def uniqueness(df: DataFrame, key: str) -> DataFrame:
 
 
 def row_uniqueness(df: DataFrame) -> DataFrame:
-    """Rows against distinct whole rows: rows are grouped by content first, so one pass serves both counts."""
-    grouped = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    """Rows against distinct whole rows: rows are grouped by content first, so one pass serves both counts.
+
+    Text columns are grouped as one text that only they give: a row moves without the gaps between many short ones.
+    """
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    others = [F.col(f"`{c}`") for c in df.columns if c not in texts]
+    whole = [spelled(*[F.col(f"`{c}`") for c in texts]).alias("whole_text_of_row")] if texts else []
+    grouped = df.groupBy(*others, *whole).agg(F.count("*").alias("copies"))
     return grouped.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total"), F.count("*").alias("unique_rows")
     )
