@@ -46,6 +46,33 @@ def test_links_equal_all_pairs_also_where_keys_are_crowded(spark):
                 assert same == (expected[a] == expected[b])
 
 
+def test_keys_known_as_crowded_give_the_same_links(spark, monkeypatch):
+    rng = random.Random(6)
+    values = [(c << 40) | rng.getrandbits(18) for c in (3, 9) for _ in range(60)]
+    expected = links(spark, values, 1000)
+    monkeypatch.setattr(simhash, "SAMPLED", 0.9)
+    monkeypatch.setattr(simhash, "FEWEST", 8)
+    frame = spark.createDataFrame([(v,) for v in set(values)], "fp long")
+    assert not simhash._crowded_keys(frame, simhash._layout(4, len(values)), 10).isEmpty()
+    assert links(spark, values, 10) == expected
+
+
+def test_index_entries_move_once(spark, monkeypatch):
+    """Entries of all fingerprints meet by key in one exchange; what follows reads the written, shared ones."""
+    plans = []
+    write = Tables.write
+    monkeypatch.setattr(simhash, "ENTRIES", 100)
+    monkeypatch.setattr(Tables, "write", lambda self, df, label: plans.append(df) or write(self, df, label))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = simhash.links(spark.createDataFrame([(v,) for v in (0, 1, 3, 5)], "fp long"), 4, Tables(spark))
+        plans = [p._jdf.queryExecution().executedPlan().toString() for p in (*plans, edges)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    whole = [p for p in plans if "Generate posexplode" in p and "Sample" not in p]
+    assert len(whole) == 1 and whole[0].count("Exchange hashpartitioning(pos") == 1
+
+
 def test_every_layout_finds_every_link():
     rng = random.Random(4)
     for extra in (0, 1, 2, 4):

@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import Tables, map_rows, row_hash
@@ -30,6 +30,9 @@ DIRECT = 4096
 ENTRIES = 1_000_000
 #: Fingerprints that meet by chance under an index key, about, before the layout gets finer.
 MEETINGS = 8
+#: Share of the fingerprints that shows which keys are crowded, and the fewest sampled fingerprints that tell.
+SAMPLED = 0.01
+FEWEST = 32
 _STEP = 1 << 16
 
 
@@ -164,6 +167,15 @@ def _midpoint_edges(crowded: DataFrame, distance: int) -> DataFrame:
     return edges.select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
 
 
+def _crowded_keys(distinct: DataFrame, parts: list[int], direct: int) -> DataFrame:
+    """Keys that a sample of the fingerprints shows to be crowded; one missed is found when its entries are counted.
+
+    Their entries need not meet in one task. At most one key for every ``FEWEST`` sampled entries.
+    """
+    seen = _variant_keys(distinct.sample(SAMPLED, seed=SEED), parts).groupBy("pos", "part").agg(F.count("*").alias("n"))
+    return seen.filter(F.col("n") > max(FEWEST, direct * SAMPLED)).select("pos", "part")
+
+
 def links(distinct: DataFrame, distance: int, tables: Tables, direct: int = DIRECT) -> DataFrame:
     """Edges (a, b) between distinct fingerprints within ``distance`` bits that connect all linked fingerprints."""
     if distance < 0 or distance % 2:
@@ -173,16 +185,26 @@ def links(distinct: DataFrame, distance: int, tables: Tables, direct: int = DIRE
     # A few bytes a row become many entries: dealt out first, so that a task's table of entries stays small.
     tasks = -(-n * sum(m.bit_count() for m in parts) // ENTRIES) or 1
     keys = _variant_keys(distinct.repartition(tasks), parts)
-    met = keys.groupBy("pos", "part").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    known = tables.write(_crowded_keys(distinct, parts, direct), "crowded_keys")
+    some_known = not known.isEmpty()
+    # Entries move once. Those of crowded keys do not move at all, as far as a sample shows which these are.
+    moved = keys.join(F.broadcast(known), ["pos", "part"], "left_anti") if some_known else keys
+    key = Window.partitionBy("pos", "part")
+    met = moved.select(
+        "*", F.count("*").over(key).alias("n"), F.min("fp").over(key).alias("a"), F.max("fp").over(key).alias("b")
+    )
     # A key of two is a pair already, and most of those that meet by chance end here.
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    shared = tables.write(met.filter((F.col("n") > 2) | ((F.col("n") == 2) & near)), "keys")
-    several = shared.filter((F.col("n") > 2) & (F.col("n") <= direct)).select("pos", "part")
-    groups = keys.join(several, ["pos", "part"]).groupBy("pos", "part").agg(F.collect_list("fp").alias("fps"))
+    pair = (F.col("n") == 2) & near & (F.col("fp") == F.col("a"))
+    shared = tables.write(met.filter((F.col("n") > 2) | pair), "keys")
+    several = shared.filter((F.col("n") > 2) & (F.col("n") <= direct))
+    groups = several.groupBy("pos", "part").agg(F.collect_list("fp").alias("fps"))
     edges = shared.filter("n = 2").select("a", "b").union(_verified(groups, distance))
-    hot = shared.filter((F.col("n") > direct) & (F.col("n") > 2))
-    if not hot.isEmpty():
-        crowded = tables.write(keys.join(hot.select("pos", "part"), ["pos", "part"]).select("fp").distinct(), "crowded")
+    found = shared.filter((F.col("n") > direct) & (F.col("n") > 2)).select("fp")
+    if some_known:
+        found = found.union(keys.join(F.broadcast(known), ["pos", "part"], "left_semi").select("fp"))
+    crowded = tables.write(found.distinct(), "crowded")
+    if not crowded.isEmpty():
         edges = edges.union(_midpoint_edges(crowded, distance))
     return edges
 
