@@ -1,14 +1,16 @@
 """What moves and what is written by the derived layers: plans over small hand-made tables."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierline import model
-from tierline.operators import facts, quality, tables, upserts
-from tierline.plans import forecast, queries
-from tierline.scratch import already_stored
+from tierline.operators import dimensions as dims
+from tierline.operators import facts, marts, quality, tables, upserts
+from tierline.plans import forecast, queries, usage
+from tierline.scratch import already_stored, scratch_path, staged
 from tierline.sources import derived
 from tests.test_operators import RECORDS, _bronze
 
@@ -86,6 +88,70 @@ def test_usage_rows_move_once_to_be_combined(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_facts_placed_by_subscriber_do_not_move_to_meet_it(spark):
+    bronze = _bronze(spark, RECORDS)
+    subscriber = model.USAGE_DIMENSIONS["dim_imsi"]
+    table = marts.spread_unknown(marts.lookup_columns(dims.build_dimension(bronze, subscriber), subscriber), "imsi_key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(facts.usage_fact_by(bronze, subscriber).join(table, ["imsi_key", facts.SPREAD], "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan
+    # One move of the rows, by the placing expressions; the other one is that of the dimension.
+    fact = plan[plan.index("SortMergeJoin") : plan.index("Generate explode")]
+    assert fact.count("Exchange hashpartitioning") == 2 and fact.count("ENSURE_REQUIREMENTS") == 1
+
+
+def test_daily_rows_of_unknown_subscribers_are_spread_and_the_same(spark):
+    rows = _bronze(spark, RECORDS)
+    names = F.array(*[F.lit(x) for x in (None, "unknown", " UnKnown", "7")])
+    bronze = staged(rows.withColumn("imsi", F.explode(names)).withColumn("apn", F.explode(F.array(*[F.lit(str(k)) for k in range(40)]))), "bronze")
+    for part in (bronze, bronze.filter("imsi is null or imsi = '7'"), bronze.limit(0)):
+        placed = facts.usage_fact_by(part, model.USAGE_DIMENSIONS["dim_imsi"])
+        expected = marts.usage_daily(facts.usage_fact(part), usage.staged_dimensions(part))
+        found = usage.usage_daily(part)
+        assert found.columns == expected.columns
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+        of = {r[0]: r[1] for r in placed.groupBy(F.col("imsi_key") == F.md5(F.lit("unknown"))).agg(F.count_distinct(facts.SPREAD)).collect()}
+        assert part.isEmpty() or (of[True] > 8 and of[False] == 1)
+
+
+def test_rejected_rows_are_counted_without_writing_the_landed_records(spark, folder):
+    assert queries.split_reasons(spark, folder).count() == 0
+    assert already_stored(spark, folder, "usage_raw") is None
+
+
+def test_a_load_writes_facts_and_months_once(spark, monkeypatch):
+    labels = []
+    for module in (usage, tables):
+        monkeypatch.setattr(module, "staged", lambda df, label, **more: labels.append(label) or staged(df, label, **more))
+    raw = _bronze(spark, RECORDS).withColumn("_source_path", F.lit("s3a://landing/tenant/EE/Bronze/Traffic/f.csv"))
+    usage.load_usage(spark, "once", raw, "0", "2026-01-01 00:00:00", scratch_path(spark, "bad"))
+    assert "rebuilt" not in labels and "increment" not in labels
+    assert spark.table(usage.usage_specs()[2].full_name("once")).count() == facts.usage_fact(usage.usage_bronze(_bronze(spark, RECORDS))).count()
+
+
+def test_threads_put_the_overwrite_mode_back(spark):
+    tables.create_schemas(spark, "turns")
+    names = [f"turns_silver.t{k}" for k in range(6)]
+    for name in names:
+        tables.create_table(spark, name, "v bigint, day string", ("day",))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        for day in ("a", "b"):
+            rows = spark.range(3).select(F.col("id").alias("v"), F.lit(day).alias("day"))
+            with ThreadPoolExecutor(6) as pool:
+                list(pool.map(lambda name: tables.overwrite_partitions(rows, name), names))
+        assert spark.conf.get(mode) == "static"
+    finally:
+        spark.conf.set(mode, before)
+    assert [spark.table(n).count() for n in names] == [6] * 6
+
+
 def test_reports_make_no_ids_that_they_do_not_use(spark, folder):
     plan = _plan(queries.null_measures(spark, folder))
     assert "md5" not in plan and "Join" not in plan
