@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.sources.files import SOURCE_PATH
+from tierline.sources.files import HEADERS_AT_ONCE, SOURCE_PATH, files_by_layout, header_lines, read_delimited
 from tierline.streaming.landing import ingest_stream, unreadable
 
 
@@ -98,3 +98,20 @@ def test_a_stream_sets_a_damaged_page_aside(spark, tmp_path):
     assert spark.read.parquet(f"{store}/*").count() == 20
     aside = spark.read.parquet(failed).select(F.element_at(F.split("path", "/"), -1), "reason").collect()
     assert [r[0] for r in aside] == ["bad.parquet"] and "of 500 rows" in aside[0]["reason"]
+
+
+def test_headers_take_one_job_for_many_files_and_a_few_lines_of_each(spark, tmp_path):
+    place = f"{tmp_path}/in put [1]"
+    os.makedirs(place)
+    for k in range(HEADERS_AT_ONCE + 1):
+        with open(f"{place}/{k:03d}.csv", "w", encoding="utf-8") as f:
+            f.write("\ufeff \n\ta;b\n1;2\n" if k % 2 else "c|d|e\n1|2|3\n\n")
+    open(f"{place}/none.csv", "w").close()
+    paths = [f"{tmp_path}/in put \\[1\\]/{n}" for n in sorted(os.listdir(place))]
+    found, jobs = _jobs(spark, lambda: files_by_layout(spark, paths))
+    assert [(layout, len(names)) for layout, names in found] == [((";", "\ta;b"), 32), (("|", "c|d|e"), 33)]
+    assert jobs <= 3  # Spark lists many paths by a job of its own
+    assert read_delimited(spark, paths).filter("c = '1'").count() == 33
+    # A limit for each file stops its reader. Nothing moves, and no Python reads on.
+    plan = header_lines(spark, paths[:3])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LocalLimit") == 3 and "Exchange" not in plan and "Python" not in plan and "Pandas" not in plan
