@@ -187,3 +187,15 @@ def test_written_candidates_are_not_written_again(spark, monkeypatch):
         upserts.upsert(candidates, name, dim.key, "2026-01-01 00:00:00", written=True)
     assert sorted(r[0] for r in spark.table(name).select(F.col(dim.key)).collect()) == ["k1", "k2"]
     assert labels == []
+
+
+def test_reloaded_forecast_records_are_made_once(spark, folder, monkeypatch):
+    plans = []
+
+    def load(spark, tenant, raw, *_):
+        plans.append(_plan(raw))
+        forecast.create_forecast_tables(spark, tenant)
+
+    monkeypatch.setattr(forecast, "load_forecast", load)
+    queries.forecast_reload(spark, folder)
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
