@@ -69,6 +69,18 @@ def test_line_items_do_not_move_by_customer_or_nation(spark, folder):
     assert moved and not any("l_extendedprice" in x for x in moved)
 
 
+def test_line_items_move_without_supplier_names(spark, folder):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [_plan(build(spark, folder)) for build in (derived.usage_raw, derived.forecast_raw)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        moved = [x for key in ("l_partkey", "l_orderkey") for x in _below(plan, f"Exchange hashpartitioning({key}")]
+        assert len(moved) == 2 and not any("s_name" in x or "s_nationkey" in x for x in moved)
+
+
 def test_records_keep_exact_tests_and_spellings(spark, folder):
     records = derived.usage_raw(spark, folder).collect()
     # Over ten by a rounded-off fraction: delivered once; ten: twice; unknown: once. Orders and parts nobody knows: never.
