@@ -81,6 +81,16 @@ def test_line_items_move_without_supplier_names(spark, folder):
         assert len(moved) == 2 and not any("s_name" in x or "s_nationkey" in x for x in moved)
 
 
+def test_documented_fact_moves_days_as_days(spark, folder):
+    columns = {c: F.lit(None).cast(t).alias(c) for c, t in model.FORECAST_TYPES.items()}
+    days = [F.to_timestamp(F.lit(x)) for x in ("2024-01-05 23:59:59", "2024-01-05 00:00:00", "0999-02-01 00:00:00")]
+    rows = spark.range(1).select(*[c for k, c in columns.items() if k != "period_start_date"], F.explode(F.array(*days, F.lit(None))).alias("period_start_date"))
+    found = facts.keyed_forecast_fact(rows)
+    assert not any("date_format" in x for x in _below(_plan(found), "Exchange hashpartitioning"))
+    texts = spark.createDataFrame([("2024-01-05",), ("0999-02-01",), (None,)], "d string").select(F.md5("d")).collect()
+    assert sorted(map(str, (r["date_key"] for r in found.collect()))) == sorted(str(r[0]) for r in texts)
+
+
 def test_records_keep_exact_tests_and_spellings(spark, folder):
     records = derived.usage_raw(spark, folder).collect()
     # Over ten by a rounded-off fraction: delivered once; ten: twice; unknown: once. Orders and parts nobody knows: never.
