@@ -81,6 +81,19 @@ def test_line_items_move_without_supplier_names(spark, folder):
         assert len(moved) == 2 and not any("s_name" in x or "s_nationkey" in x for x in moved)
 
 
+def test_wide_usage_rows_are_written_in_split_methods_and_packed(spark, folder, monkeypatch):
+    limit, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(queries, "usage_bronze", lambda raw: seen.append(spark.conf.get(limit)) or usage.usage_bronze(raw))
+    spark.conf.set(limit, "65535")
+    try:
+        bronze = queries._bronze(spark, folder)
+        assert seen == ["8000"] and spark.conf.get(limit) == "65535"
+    finally:
+        spark.conf.set(limit, before)
+    assert all(f.endswith(".zstd.parquet") for f in bronze.inputFiles()) and bronze.count() == 4
+
+
 def test_documented_fact_moves_days_as_days(spark, folder):
     columns = {c: F.lit(None).cast(t).alias(c) for c, t in model.FORECAST_TYPES.items()}
     days = [F.to_timestamp(F.lit(x)) for x in ("2024-01-05 23:59:59", "2024-01-05 00:00:00", "0999-02-01 00:00:00")]
