@@ -22,6 +22,8 @@ from tierline.functions.text import (
     describe_indicator,
     is_blank,
     is_forecast,
+    packed_texts,
+    unpacked_texts,
 )
 
 __all__ = [
@@ -39,8 +41,10 @@ __all__ = [
     "natural_key",
     "normalized",
     "normalized_or_unknown",
+    "packed_texts",
     "parse_date",
     "row_hash",
+    "unpacked_texts",
     "variance_pct",
     "year_month",
 ]
