@@ -1,10 +1,13 @@
 """How wide rows are when they move, and what landed files are: plans and small hand-made tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierline import model
 from tierline.functions import packed_texts, unpacked_texts
-from tierline.operators import facts
+from tierline.operators import codes, facts, marts
+from tierline.plans import usage
+from tierline.scratch import staged
 from tests.test_operators import RECORDS, _bronze
 from tests.test_scale import _plan
 
@@ -32,3 +35,42 @@ def test_usage_rows_move_as_one_text_and_the_subscriber(spark):
     plain = lines.groupBy(*grain).agg(*sums, F.min("source_system").alias("source_system"), F.min("batch_id").alias("batch_id"))
     combined = facts.combine_usage(lines).select(*plain.columns)
     assert plain.exceptAll(combined).isEmpty() and combined.exceptAll(plain).isEmpty() and plain.count() >= len(ODD)
+
+
+@pytest.mark.parametrize("apns", [3, 130])
+def test_placed_daily_rows_give_the_same_months(spark, apns, monkeypatch):
+    names = F.array(*[F.lit(x) for x in (None, "unknown", " UnKnown", "7", "8")])
+    points = F.array(*[F.lit(str(k)) for k in range(apns)], F.lit(None))
+    bronze = _bronze(spark, RECORDS).withColumn("imsi", F.explode(names)).withColumn("apn", F.explode(points))
+    bronze = staged(bronze, "bronze")
+    dimensions = usage.staged_dimensions(bronze)
+    daily = usage.usage_daily(bronze, dimensions, placed=True)
+    expected = marts.usage_monthly(usage.usage_daily(bronze, dimensions))
+    for most in (codes.MOST_VALUES, 2):
+        # With small dictionaries some columns, or the access points, stay text.
+        monkeypatch.setattr(codes, "MOST_VALUES", most)
+        found = marts.usage_monthly(daily, dimensions)
+        assert found.dtypes == expected.dtypes
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    assert found.agg(F.max("distinct_apn_count")).first()[0] == apns
+
+
+def test_months_of_placed_rows_move_daily_rows_once(spark):
+    bronze = _bronze(spark, RECORDS)
+    dimensions = usage.staged_dimensions(bronze)
+    plan = _plan(marts.usage_monthly(usage.usage_daily(bronze, dimensions, placed=True), dimensions))
+    # Once by subscriber, once by group, as numbers; the dimensions are broadcast.
+    assert plan.count("Exchange hashpartitioning") == 2 and "inline" not in plan
+    assert "_word0" in plan[plan.index("Exchange hashpartitioning") :].split("\n")[0]
+
+
+def test_a_dictionary_numbers_values_in_their_order(spark):
+    df = spark.createDataFrame([("b", 7), (None, 9), ("a", 7), ("a", None)], "t string, n int")
+    made = codes.dictionaries({"t": df.select("t"), "n": df.select("n")})
+    assert made.sizes == {"t": 2, "n": 2}
+    places = made.places(["t", "n"])
+    packed = made.packed(df.withColumns({"was_t": F.col("t"), "was_n": F.col("n")}), places)
+    told = made.named(packed, places, {"t": "string", "n": "int"})
+    assert packed.columns == ["was_t", "was_n", "_word0"]
+    assert told.filter("t <=> was_t and n <=> was_n").count() == 4
+    assert [r[0] for r in made.of("t").orderBy("code").select("value").collect()] == ["a", "b"]
