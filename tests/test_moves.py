@@ -1,15 +1,17 @@
 """How wide rows are when they move, and what landed files are: plans and small hand-made tables."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from tierline import model
 from tierline.functions import packed_texts, unpacked_texts
 from tierline.operators import codes, facts, marts
-from tierline.plans import usage
+from tierline.plans import queries, usage
 from tierline.scratch import staged
 from tests.test_operators import RECORDS, _bronze
-from tests.test_scale import _plan
+from tests.test_scale import _plan, folder  # noqa: F401
 
 ODD = ("a", "", "\x1f", "\x1e", "\x1e0", "\x1e1", "a\x1fb", "\x1f\x1e")
 
@@ -74,3 +76,12 @@ def test_a_dictionary_numbers_values_in_their_order(spark):
     assert packed.columns == ["was_t", "was_n", "_word0"]
     assert told.filter("t <=> was_t and n <=> was_n").count() == 4
     assert [r[0] for r in made.of("t").orderBy("code").select("value").collect()] == ["a", "b"]
+
+
+def test_mixed_headers_land_packed(spark, folder, monkeypatch):  # noqa: F811
+    seen = []
+    read = queries.read_delimited
+    monkeypatch.setattr(queries, "read_delimited", lambda s, paths, **more: seen.extend(paths) or read(s, paths, **more))
+    assert queries.mixed_headers(spark, folder).count() == 4
+    landed = [f for p in seen for f in glob.glob(f"{p.removeprefix('file:')}/part-*")]
+    assert landed and all(f.endswith(".csv.gz") for f in landed)
