@@ -10,6 +10,7 @@ from tierline.functions import packed_texts, unpacked_texts
 from tierline.operators import codes, facts, marts
 from tierline.plans import queries, usage
 from tierline.scratch import staged
+from tierline.sources import derived
 from tests.test_operators import RECORDS, _bronze
 from tests.test_scale import _plan, folder  # noqa: F401
 
@@ -85,3 +86,11 @@ def test_mixed_headers_land_packed(spark, folder, monkeypatch):  # noqa: F811
     assert queries.mixed_headers(spark, folder).count() == 4
     landed = [f for p in seen for f in glob.glob(f"{p.removeprefix('file:')}/part-*")]
     assert landed and all(f.endswith(".csv.gz") for f in landed)
+
+
+def test_forecast_files_are_gathered_before_they_are_text(spark, folder):  # noqa: F811
+    plan = _plan(derived.forecast_raw(spark, folder, gathered_by="s_nation"))
+    moved = next(x for x in plan[plan.index("Exchange hashpartitioning(s_nation") :].split("\n")[1:] if "Project" in x)
+    assert "l_extendedprice" in moved and "PARTNER_GROUP_NAME" not in moved and "c_nation#" not in moved
+    files = queries._files_under(spark, queries._forecast_files(spark, folder))
+    assert len(files) == 1 and files[0].endswith(".csv.gz")
