@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tierline import model
 from tierline.functions import packed_texts, unpacked_texts
-from tierline.operators import codes, facts, marts
-from tierline.plans import queries, usage
+from tierline.operators import codes, facts, marts, tables
+from tierline.plans import forecast, queries, usage
 from tierline.scratch import staged
 from tierline.sources import derived
 from tests.test_operators import RECORDS, _bronze
@@ -94,3 +94,21 @@ def test_forecast_files_are_gathered_before_they_are_text(spark, folder):  # noq
     assert "l_extendedprice" in moved and "PARTNER_GROUP_NAME" not in moved and "c_nation#" not in moved
     files = queries._files_under(spark, queries._forecast_files(spark, folder))
     assert len(files) == 1 and files[0].endswith(".csv.gz")
+
+
+def test_a_forecast_load_writes_its_rows_and_facts_once(spark, folder, monkeypatch):  # noqa: F811
+    labels = []
+    for module in (forecast, tables):
+        monkeypatch.setattr(module, "staged", lambda df, label, **more: labels.append(label) or staged(df, label, **more))
+    raw = queries._forecast_bronze(spark, folder)
+    raw = staged(raw.withColumn("agreement_reference", F.explode(F.array(F.lit("x"), F.lit(None)))), "rows")
+    for most in (codes.MOST_VALUES, 0):
+        # Without dictionaries the rows move as they are.
+        monkeypatch.setattr(codes, "MOST_VALUES", most)
+        forecast.load_forecast(spark, f"narrow{most}", raw, "0", "2026-01-01 00:00:00", None, True)
+        stored = spark.table(model.table_spec("forecast", "silver").full_name(f"narrow{most}")).drop("_batch", "created_at")
+        expected = forecast.forecast_fact(forecast.forecast_bronze(raw, "2026-01-01 00:00:00"), "2026-01-01 00:00:00", "forecast_0")
+        expected = expected.select(*stored.columns)
+        assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty() and expected.count() == 6
+        assert expected.filter("iot_agreement_id is null").count() == 3
+    assert "landed" not in labels and "fact" not in labels
